@@ -3,7 +3,7 @@
 from importlib import import_module
 
 FLAGSHIP = "star_join"
-MODULES = ["cleaning"]
+MODULES = ["cleaning", "joining", "profiling", "evaluation"]
 
 
 def _collect(attribute: str) -> dict:

@@ -13,18 +13,19 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kerbside.functions import columns as fc
-from kerbside.session import null_safe, pin_small
+from kerbside.session import match_null_safe, pin_small
 
 HASH_DIGITS = 3   # 4096 ranges per group
 
 
 # ---- the shared helper ------------------------------------------------------------
 def range_offsets(df: DataFrame, by: list[str], bucket: str,
-                  sums: dict[str, Column]) -> DataFrame:
-    """Per (group, bucket): the sums over all earlier buckets of the group, ``<name>_before``."""
+                  sums: dict[str, Column], keep: bool = False) -> DataFrame:
+    """Per (group, bucket): the sums over all earlier buckets of the group, ``<name>_before``
+    (and, with ``keep``, the bucket's own sums)."""
     per = df.groupBy(*by, bucket).agg(*[c.alias(n) for n, c in sums.items()])
     w = W.partitionBy(*by).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
-    return per.select(*by, bucket, *[
+    return per.select(*by, bucket, *(sums if keep else []), *[
         F.coalesce(F.sum(n).over(w), F.lit(0)).alias(n + "_before") for n in sums])
 
 
@@ -38,15 +39,10 @@ def numbered(df: DataFrame, by: list[str], order: list[Column], bucket: Column,
     """
     tagged = df.withColumn("_bucket", bucket)
     offsets = range_offsets(tagged, by, "_bucket", {"n": F.count(F.lit(1))})
-    right = offsets.withColumnsRenamed({k: "_r_" + k for k in by + ["_bucket"]})
-    right = pin_small(right) if pin else right
-    on = F.lit(True)
-    for k in by + ["_bucket"]:
-        on = on & F.col(k).eqNullSafe(F.col("_r_" + k))
-    joined = tagged.join(right, on, "inner")
+    joined = match_null_safe(tagged, pin_small(offsets) if pin else offsets, [*by, "_bucket"])
     local = F.row_number().over(W.partitionBy(*by, "_bucket").orderBy(*order))
     return (joined.withColumn(name, (local + F.col("n_before")).cast("bigint"))
-            .drop("_bucket", "n_before", *["_r_" + k for k in by + ["_bucket"]]))
+            .drop("_bucket", "n_before"))
 
 
 def hash_bucket(key: str, digits: int = HASH_DIGITS) -> Column:
@@ -168,47 +164,46 @@ def random_draw_impute(df: DataFrame, column: str, keys: list[str], seed=42) ->
 
 
 # ---- running sums over an ordered value --------------------------------------------
-def value_splits(df: DataFrame, by: list[str], value: str, parts: int = 200) -> DataFrame:
+SPLIT_BITS = 8    # 256 value ranges per group
+
+
+def value_splits(df: DataFrame, by: list[str], value: str, bits: int = SPLIT_BITS) -> DataFrame:
     """Approximate split points of ``value`` per group, as an array (mergeable sketch)."""
+    parts = 2 ** bits
     probs = F.array(*[F.lit(i / parts) for i in range(1, parts)])
-    return df.groupBy(*by).agg(
-        F.array_distinct(F.percentile_approx(value, probs, 10 * parts)).alias("_splits"))
+    return df.groupBy(*by).agg(F.array_distinct(
+        F.percentile_approx(value, probs, 4 * parts)).alias("_splits"))
 
 
-def with_value_bucket(df: DataFrame, by: list[str], value: str, parts: int = 200,
+def with_value_bucket(df: DataFrame, by: list[str], value: str, bits: int = SPLIT_BITS,
                       splits: DataFrame | None = None) -> DataFrame:
     """Add ``_bucket``: how many split points of the group lie below ``value``.
 
-    Equal values always share a bucket, so a result never depends on where the
-    approximate split points fall.
+    Found by halving, one comparison per bit.  Equal values always share a bucket, so a
+    result never depends on where the approximate split points fall.
     """
-    splits = pin_small(value_splits(df, by, value, parts) if splits is None else splits)
-    below = F.size(F.filter(F.col("_splits"), lambda s: s < F.col(value)))
-    right = splits.withColumnsRenamed({k: "_s_" + k for k in by})
-    on = F.lit(True)
-    for k in by:
-        on = on & F.col(k).eqNullSafe(F.col("_s_" + k))
-    return (df.join(right, on).withColumn("_bucket", below)
-            .drop("_splits", *["_s_" + k for k in by]))
+    splits = pin_small(value_splits(df, by, value, bits) if splits is None else splits)
+    out = match_null_safe(df, splits, by).withColumn("_bucket", F.lit(0))
+    for bit in reversed(range(bits)):
+        step = 2 ** bit
+        below = F.get("_splits", F.col("_bucket") + (step - 1)) < F.col(value)
+        out = out.withColumn("_bucket", F.col("_bucket") + F.when(below, step).otherwise(0))
+    return out.drop("_splits")
 
 
 def running_sums(df: DataFrame, by: list[str], value: str, sums: list[str],
-                 descending: bool = False, parts: int = 200) -> DataFrame:
+                 descending: bool = False, bits: int = SPLIT_BITS) -> DataFrame:
     """Running sums in order of a value that is distinct inside each group.
 
     Adds ``<name>_cum`` for each summed column; the current row is included.
     """
-    tagged = with_value_bucket(df, by, value, parts)
+    tagged = with_value_bucket(df, by, value, bits)
     if descending:
         tagged = tagged.withColumn("_bucket", -F.col("_bucket"))
     offsets = pin_small(range_offsets(tagged, by, "_bucket", {s: F.sum(s) for s in sums}))
-    right = offsets.withColumnsRenamed({k: "_o_" + k for k in by + ["_bucket"]})
-    on = F.lit(True)
-    for k in by + ["_bucket"]:
-        on = on & F.col(k).eqNullSafe(F.col("_o_" + k))
     order = F.col(value).desc() if descending else F.col(value).asc()
     w = W.partitionBy(*by, "_bucket").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    joined = tagged.join(right, on)
-    out = joined.withColumns({s + "_cum": F.sum(s).over(w) + F.col(s + "_before") for s in sums})
-    return out.drop("_bucket", *[s + "_before" for s in sums],
-                    *["_o_" + k for k in by + ["_bucket"]])
+    joined = match_null_safe(tagged, offsets, [*by, "_bucket"])
+    out = joined.withColumns({
+        s + "_cum": F.sum(s).over(w) + F.col(s + "_before") for s in sums})
+    return out.drop("_bucket", *[s + "_before" for s in sums])

@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kerbside.operators.ordered import (first_per_key, range_offsets, value_splits,
+from kerbside.operators.ordered import (SPLIT_BITS, first_per_key, range_offsets,
                                         with_value_bucket)
-from kerbside.session import pin_small
+from kerbside.session import match_null_safe, pin_small
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
@@ -177,7 +177,7 @@ def minus_one_counts(df: DataFrame, columns: list[str] | None = None) -> DataFra
 
 # ---- numbers ----------------------------------------------------------------------
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
-                    by: list[str] | None = None, parts: int = 200) -> DataFrame:
+                    by: list[str] | None = None, bits: int = SPLIT_BITS) -> DataFrame:
     """Exact quantiles with linear interpolation, long: (by..., column, prob, quantile).
 
     Selection instead of sorting: a mergeable sketch cuts the values into ranges, counts
@@ -188,30 +188,25 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     keys = [*by, "column"]
     cells = long_form(df, columns, "double", by).filter(
         F.col("value").isNotNull() & ~F.isnan("value"))
-    splits = pin_small(value_splits(cells, keys, "value", parts))
-    tagged = with_value_bucket(cells, keys, "value", splits=splits)
-    offsets = range_offsets(tagged, keys, "_bucket", {"n": F.count(F.lit(1))})
-    counts = tagged.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("n"))
-    ranges = pin_small(counts.join(offsets, [*keys, "_bucket"]) if not by else
-                       _join_null_safe(counts, offsets, [*keys, "_bucket"]))
+    tagged = with_value_bucket(cells, keys, "value", bits)
+    ranges = pin_small(range_offsets(tagged, keys, "_bucket", {"n": F.count(F.lit(1))}, keep=True))
     totals = ranges.groupBy(*keys).agg(F.sum("n").alias("_total"))
     wanted = totals.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
     rank = (F.col("_total") - 1) * F.col("prob")
     wanted = wanted.withColumns({"_low": F.floor(rank), "_high": F.ceil(rank),
                                  "_weight": rank - F.floor(rank)})
     wanted = wanted.withColumn("_rank", F.explode(F.array_distinct(F.array("_low", "_high"))))
-    located = _join_null_safe(wanted, ranges, keys).filter(
+    located = match_null_safe(wanted, ranges, keys).filter(
         (F.col("_rank") >= F.col("n_before")) & (F.col("_rank") < F.col("n_before") + F.col("n")))
-    located = pin_small(located.select(*keys, "_bucket", "n_before", "prob", "_rank", "_low",
-                                       "_weight"))
-    needed = pin_small(located.select(*keys, "_bucket", "n_before").distinct())
-    inside = _join_null_safe(tagged, needed, [*keys, "_bucket"])
-    per_value = inside.groupBy(*keys, "_bucket", "n_before", "value").agg(
+    per_range = located.groupBy(*keys, "_bucket", "n_before").agg(F.collect_list(
+        F.struct("prob", "_rank", "_low", "_weight")).alias("_wanted"))   # two ranks per prob
+    inside = match_null_safe(tagged, pin_small(per_range), [*keys, "_bucket"])
+    per_value = inside.groupBy(*keys, "_bucket", "n_before", "_wanted", "value").agg(
         F.count(F.lit(1)).alias("_c"))
     w = W.partitionBy(*keys, "_bucket").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
-    per_value = per_value.withColumn("_upto", F.col("n_before") + F.sum("_c").over(w)).drop("n_before")
-    hits = _join_null_safe(per_value, located, [*keys, "_bucket"]).filter(
-        (F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_c")))
+    hits = (per_value.withColumn("_upto", F.col("n_before") + F.sum("_c").over(w))
+            .select(*keys, "value", "_upto", "_c", F.inline("_wanted"))
+            .filter((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_c"))))
     ends = hits.groupBy(*keys, "prob", "_weight").agg(
         F.min(F.when(F.col("_rank") == F.col("_low"), F.col("value"))).alias("_a"),
         F.max("value").alias("_b"))
@@ -219,14 +214,6 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                                        * F.col("_weight")).alias("quantile"))
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    right = right.withColumnsRenamed({k: "_n_" + k for k in keys})
-    on = F.lit(True)
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col("_n_" + k))
-    return left.join(right, on).drop(*["_n_" + k for k in keys])
-
-
 def quantiles_wide(df: DataFrame, columns: list[str], probs: dict[str, float],
                    by: list[str] | None = None) -> DataFrame:
     """One row per (by..., column), one column per named quantile."""

@@ -63,9 +63,11 @@ def pin_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
-def null_safe(left: DataFrame, right: DataFrame, keys: list[str]):
-    """Equality over ``keys`` in which NULL meets NULL."""
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
+def match_null_safe(left: DataFrame, right: DataFrame, keys: list[str],
+                    how: str = "inner") -> DataFrame:
+    """Join on ``keys`` with NULL meeting NULL; the keys of the left side stay."""
+    right = right.withColumnsRenamed({k: "_right_" + k for k in keys})
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col("_right_" + k))
+    return left.join(right, on, how).drop(*["_right_" + k for k in keys])
