@@ -3,7 +3,7 @@
 from importlib import import_module
 
 FLAGSHIP = "star_join"
-MODULES = ["cleaning", "joining", "profiling", "evaluation"]
+MODULES = ["cleaning", "joining", "profiling", "evaluation", "clusters"]
 
 
 def _collect(attribute: str) -> dict:

@@ -45,20 +45,14 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_rows(df: DataFrame, max_rows: int = SMALL_ROWS) -> list | None:
-    """The rows of ``df`` if there are at most ``max_rows``, else ``None``."""
-    rows = df.limit(max_rows + 1).collect()
-    return rows if len(rows) <= max_rows else None
-
-
 def pin_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Replace a small aggregate by its rows, marked for broadcast.
 
     The size is checked first: a larger table comes back unchanged, so that the
     join falls to a shuffle (with adaptive skew handling) instead of a broadcast.
     """
-    rows = small_rows(df, max_rows)
-    if rows is None:
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
