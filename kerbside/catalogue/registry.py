@@ -2,8 +2,8 @@
 
 from importlib import import_module
 
-FLAGSHIP = "star_join"
-MODULES = ["cleaning", "joining", "profiling", "evaluation", "clusters"]
+FLAGSHIP = "accident_table"
+MODULES = ["accident", "cleaning", "joining", "profiling", "evaluation", "clusters", "learning"]
 
 
 def _collect(attribute: str) -> dict:
