@@ -6,7 +6,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from kerbside.catalogue.tables import r6, table
-from kerbside.ml import famd, isolation, models, prepare, search
+from kerbside.ml import famd, isolation, models, prepare, search, smote
 from kerbside.operators import evaluate, ordered
 
 QUERIES, SQL = {}, {}
@@ -133,3 +133,20 @@ def famd_rows(spark, sf):
     li = table(spark, sf, "lineitem")
     model = famd.fit(li, ["l_quantity", "l_extendedprice"], ["l_returnflag", "l_linestatus", "l_linenumber"], 2)
     return model.rows(li).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", r6("f0").alias("f0"), r6("f1").alias("f1"))
+
+
+@query("""WITH c AS (SELECT label % 3 AS y, count(*) AS n FROM embeddings GROUP BY 1) SELECT y, (SELECT max(n) FROM c) - n AS n_new, 64 AS dims FROM c WHERE n < (SELECT max(n) FROM c)""")
+def smote_counts(spark, sf):
+    e = table(spark, sf, "embeddings").withColumn("y", F.col("label") % 3)
+    out = smote.oversample(e, "y", "vec_id", "embedding", k=3)
+    return out.groupBy("y").agg(F.count(F.lit(1)).alias("n_new"), F.max(F.size("embedding")).alias("dims"))
+
+
+@query("""WITH e AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings)
+SELECT a.id, b.id AS near, round(list_distance(a.v, b.v), 6) AS distance, CAST(row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.v, b.v), b.id) AS INT) AS place
+FROM e a JOIN e b ON a.id <> b.id QUALIFY place <= 3""")
+def nearest_neighbours(spark, sf):
+    e = table(spark, sf, "embeddings").select(F.col("embedding").cast("array<double>").alias("v"), "vec_id")
+    distinct = e.groupBy("v").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"))
+    out = smote.neighbours(distinct.select("id", "v", "copies"), 3)
+    return out.select("id", "near", r6("distance").alias("distance"), "place")

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from kerbside.functions import codes
 
-# White space that may sit inside digits, the no-break space included.
-BLANKS = r"[\s\u00A0\u202F]+"
+# White space that may sit inside digits, the no-break spaces included.
+BLANKS = " \t\n\r\f\u000b\u00a0\u202f"
 
 
 def _col(c) -> Column:
@@ -24,7 +24,12 @@ def _col(c) -> Column:
 
 # ---- text to number ---------------------------------------------------------------
 def strip_blanks(c) -> Column:
-    return F.regexp_replace(_col(c).cast("string"), BLANKS, "")
+    return F.translate(_col(c).cast("string"), BLANKS, "")
+
+
+def _double(text: Column) -> Column:
+    # Text that cannot start a number is left out first: failing casts are slow.
+    return F.when(text.rlike(r"^[-+]?\.?\d"), text).try_cast("double")
 
 
 def blank_free_long(c) -> Column:
@@ -33,22 +38,21 @@ def blank_free_long(c) -> Column:
 
 
 def blank_free_double(c) -> Column:
-    return F.replace(strip_blanks(c), F.lit(","), F.lit(".")).try_cast("double")
+    return _double(F.translate(strip_blanks(c), ",", "."))
 
 
 def decimal_comma(c) -> Column:
-    return F.replace(F.trim(_col(c)), F.lit(","), F.lit(".")).try_cast("double")
+    return _double(F.translate(F.trim(_col(c)), ",", "."))
 
 
 def code(c) -> Column:
     """Register code as int; tolerates blanks around it and a trailing ``.0``."""
-    text = F.regexp_replace(F.trim(_col(c).cast("string")), r"\.0+$", "")
-    return text.try_cast("int")
+    return F.substring_index(_col(c).cast("string"), ".0", 1).try_cast("int")
 
 
 def lane_count(c) -> Column:
     """Number of lanes; text such as a multi-value marker becomes -1."""
-    return F.coalesce(strip_blanks(c).try_cast("double"), F.lit(-1.0))
+    return F.coalesce(_double(strip_blanks(c)), F.lit(-1.0))
 
 
 def is_not_number(c) -> Column:
@@ -151,13 +155,13 @@ def both_equal(a, b, value=1) -> Column:
     return F.coalesce((_col(a) == value) & (_col(b) == value), F.lit(False)).cast("int")
 
 
-def filled_weight(weights: dict, missing=-1) -> Column:
+def filled_weight(weights: dict, missing: int = -1) -> Column:
     """Sum of the weights of columns that are neither NULL nor the missing code."""
-    def part(name, w):
-        col = F.col(name)
-        present = col.isNotNull() & F.coalesce(col.try_cast("double") != missing, F.lit(True))
-        return F.when(present, F.lit(w)).otherwise(F.lit(0))
-    return reduce(lambda a, b: a + b, [part(n, w) for n, w in weights.items()])
+    def filled(names):
+        cells = F.array_compact(F.array(*[F.col(n).cast("string") for n in names]))
+        return F.size(F.array_remove(F.array_remove(cells, str(missing)), f"{missing}.0"))
+    return reduce(lambda a, b: a + b, [
+        filled([n for n, v in weights.items() if v == w]) * F.lit(w) for w in sorted(set(weights.values()))])
 
 
 # ---- vehicles and roads -----------------------------------------------------------
