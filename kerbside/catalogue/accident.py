@@ -10,6 +10,7 @@ from kerbside.catalogue.cleaning import CLASS_CASE, WEIGHT_CASE
 from kerbside.catalogue.tables import table
 from kerbside.functions import codes
 from kerbside.plans import accidents
+from kerbside.session import spread
 
 QUERIES, SQL = {}, {}
 
@@ -46,7 +47,7 @@ _POS = "l_shipdate, l_extendedprice, l_partkey, l_suppkey, l_linenumber, l_quant
 def raw_tables(spark, sf):
     def text(df, columns, position):
         return df.select(*[F.expr(e).cast("string").alias(c) for c, e in columns.items()], F.struct(*position).alias("_src_pos"))
-    lines = table(spark, sf, "lineitem")
+    lines = spread(table(spark, sf, "lineitem"), "l_orderkey", "l_partkey", "l_suppkey")
     return {"circumstances": text(table(spark, sf, "orders"), _CIRC, ["o_orderkey"]), "locations": text(lines, _LOC, _POS),
             "vehicles": text(lines, _VEH, _POS), "users": text(lines, _USR, _POS)}
 

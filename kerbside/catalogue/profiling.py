@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from kerbside.catalogue.tables import r6, table
 from kerbside.operators import profile, stats
+from kerbside.session import spread
 
 QUERIES, SQL = {}, {}
 
@@ -115,7 +116,7 @@ def _profile_part(c, kind):
 
 @query(f"WITH {_GAPPY} " + " UNION ALL ".join(_profile_part(c, k) for c, k in _COLS))
 def column_profile(spark, sf):
-    out = profile.column_profile(_gappy(spark, sf))
+    out = profile.column_profile(spread(_gappy(spark, sf), "l_quantity", "tax", "discount"))
     rounded = [c for c, k in out.dtypes if k == "double"]
     return out.withColumns({c: r6(c) for c in rounded})
 

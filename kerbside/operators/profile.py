@@ -235,18 +235,22 @@ def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
             .select("column", "n", "mean", "std", "min", "q25", "q50", "q75", "max"))
 
 
+def _summary(counts: DataFrame) -> DataFrame:
+    """Per column: rows, missing rows, distinct values, top value (smallest among equals,
+    NULL last) and its count; one aggregation over the value counts."""
+    missing = F.when(F.col("value").isNull(), F.col("n")).otherwise(0)
+    first = F.min(F.struct((-F.col("n")).alias("m"), F.col("value").isNull().alias("u"), F.col("value").alias("v")))
+    return counts.groupBy("column").agg(
+        F.sum("n").alias("rows"), F.sum(missing).alias("missing_count"),
+        F.count("value").alias("unique_count"), first.alias("_top")).withColumns(
+        {"top": F.col("_top.v"), "freq": -F.col("_top.m")}).drop("_top")
+
+
 def describe_categories(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, distinct values, most frequent value and its count per column."""
     counts = value_table(df, columns).filter(F.col("value").isNotNull())
-    return _top_of_counts(counts)
-
-
-def _top_of_counts(counts: DataFrame) -> DataFrame:
-    totals = counts.groupBy("column").agg(F.sum("n").alias("count"),
-                                          F.count("value").alias("unique"))
-    top = first_per_key(counts, ["column"], [F.desc("n"), F.asc_nulls_last("value")])
-    return totals.join(top.select("column", F.col("value").alias("top"), F.col("n").alias("freq")),
-                       "column")
+    return _summary(counts).select("column", F.col("rows").alias("count"),
+                                   F.col("unique_count").alias("unique"), "top", "freq")
 
 
 def column_profile(df: DataFrame) -> DataFrame:
@@ -255,14 +259,10 @@ def column_profile(df: DataFrame) -> DataFrame:
     A NULL that is the most frequent entry is reported as ``NaN``.
     """
     kinds = F.create_map(*[F.lit(x) for n, k in df.dtypes for x in (n, k)])
-    counts = value_table(df, df.columns)
-    rows = counts.groupBy("column").agg(
-        F.sum("n").alias("rows"),
-        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("missing_count"))
-    base = rows.join(_top_of_counts(counts), "column").select(
+    base = _summary(value_table(df, df.columns)).select(
         "column", kinds[F.col("column")].alias("dtype"),
         (F.col("missing_count") * 100.0 / F.col("rows")).alias("missing_pct"), "missing_count",
-        F.col("unique").alias("unique_count"), F.coalesce("top", F.lit("NaN")).alias("top_value"),
+        "unique_count", F.coalesce("top", F.lit("NaN")).alias("top_value"),
         (F.col("freq") * 100.0 / F.col("rows")).alias("top_pct"))
     numeric = numeric_columns(df)
     if not numeric:

@@ -45,6 +45,15 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal a table out over the cores if its files give fewer splits than there are cores.
+
+    Worth it before work that is heavy per row; a table of many splits comes back as it is.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted, *keys) if df.rdd.getNumPartitions() < wanted else df
+
+
 def pin_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Replace a small aggregate by its rows, marked for broadcast.
 
