@@ -20,34 +20,43 @@ SAFETY = ["safety_equipment_1", "safety_equipment_2", "safety_equipment_3"]
 
 def renamed(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Stage B: names of this package, text values as read."""
-    return {t: clean.rename(df, schemas.RENAMES[t]) for t, df in raw.items()}
+    return {t: clean.rename(df, schemas.RENAMES["users" if t.startswith("users") else t])
+            for t, df in raw.items()}
 
 
 def with_user_ids(users: DataFrame, bucket: Column | None = None) -> DataFrame:
     """Give users of files without a user id the key ``<accident>_U<n>``."""
     if "id_accident" not in users.columns:
         raise ValueError("users have no accident key")
+    if "id_user" in users.columns:
+        return users
     bucket = F.struct("_src_pos.file", "_src_pos.block") if bucket is None else bucket
-    order = [F.col("_src_pos")]
-    if "id_user" not in users.columns:
-        return ordered.synthetic_key(users, "id_accident", order, bucket)
-    known = users.filter(F.col("id_user").isNotNull())
-    unknown = users.filter(F.col("id_user").isNull()).drop("id_user")
-    return known.unionByName(ordered.synthetic_key(unknown, "id_accident", order, bucket))
+    return ordered.synthetic_key(users, "id_accident", [F.col("_src_pos")], bucket)
 
 
-def prepared_vehicles(vehicles: DataFrame) -> DataFrame:
-    """One row per (accident, vehicle) with class and the heaviest opponent beside it."""
+def vehicle_rows(vehicles: DataFrame) -> DataFrame:
+    """Vehicles with unknowns as NULL, the class instead of the code, and its weight."""
     v = clean.sentinels_to_null(raw_source.typed(vehicles), codes.VEHICLE_SENTINELS)
     v = v.withColumn("vehicle_category", fc.vehicle_class("vehicle_category"))
-    v = v.withColumn("_impact", fc.class_weight("vehicle_category"))
-    keep = ["id_accident", *codes.MIRRORED, "_impact"]
-    position = F.col("_src_pos")
-    paired = joins.with_opponent(v.select(*keep, "_src_pos"), "id_accident", "id_vehicle",
-                                 "_impact", position, codes.MIRRORED)
+    return v.select("id_accident", *codes.MIRRORED, "_src_pos",
+                    fc.class_weight("vehicle_category").alias("_impact"))
+
+
+def prepared_vehicles(rows: DataFrame) -> DataFrame:
+    """One row per (accident, vehicle) with the heaviest opponent beside it."""
+    paired = joins.with_opponent(rows, "id_accident", "id_vehicle", "_impact", F.col("_src_pos"),
+                                 codes.MIRRORED)
     return paired.drop("_impact", "_src_pos")
 
 
+def class_counts(rows: DataFrame) -> DataFrame:
+    """Vehicles of each class per accident; an id that occurs twice counts once."""
+    once = ordered.first_per_key(rows.select("id_accident", "id_vehicle", "vehicle_category", "_src_pos"),
+                                 ["id_accident", "id_vehicle"], [F.desc("_src_pos")])
+    return joins.category_counts(once, "id_accident", "vehicle_category", codes.SIX_CLASSES,
+                                 "vehicle_category_involved_")
+
+
 def best_locations(locations: DataFrame) -> DataFrame:
     """The most telling location row of each accident."""
     loc = raw_source.typed(locations)
@@ -70,9 +79,10 @@ def accident_rows(b: dict[str, DataFrame]) -> DataFrame:
     return clean.keep_up_to(joined, "speed_limit", codes.SPEED_LIMIT_MAX)
 
 
-def user_rows(users: DataFrame, vehicles: DataFrame, bucket: Column | None = None) -> DataFrame:
+def user_rows(b: dict[str, DataFrame], vehicles: DataFrame, bucket: Column | None = None) -> DataFrame:
     """Users with own and other vehicle; a pedestrian's vehicle is the other one."""
-    u = raw_source.typed(with_user_ids(users, bucket)).drop("number_vehicle", "_src_pos", "file_year")
+    parts = [with_user_ids(b[t], bucket) for t in ("users", "users_without_id") if t in b]
+    u = raw_source.typed(joins.append(*parts)).drop("number_vehicle", "_src_pos", "file_year")
     u = u.withColumn("id_user", fc.strip_blanks("id_user"))
     joined = joins.left_null_safe(u, vehicles, ["id_accident", "id_vehicle"], ["id_vehicle"])
     return joins.swap_roles(joined, F.col("user_category") == 3, codes.MIRRORED)
@@ -81,11 +91,10 @@ def user_rows(users: DataFrame, vehicles: DataFrame, bucket: Column | None = Non
 def merged(b: dict[str, DataFrame], accidents: DataFrame | None = None,
            bucket: Column | None = None) -> DataFrame:
     """Stage C: accident, location, user, vehicles and class counts."""
-    vehicles = prepared_vehicles(b["vehicles"])
-    counts = joins.category_counts(vehicles, "id_accident", "vehicle_category",
-                                   codes.SIX_CLASSES, "vehicle_category_involved_")
+    rows = vehicle_rows(b["vehicles"])
     accidents = accident_rows(b) if accidents is None else accidents
-    return joins.star(accidents, [user_rows(b["users"], vehicles, bucket), counts], "id_accident")
+    users = user_rows(b, prepared_vehicles(rows), bucket)
+    return joins.star(accidents, [users, class_counts(rows)], "id_accident")
 
 
 def _complexity() -> Column:

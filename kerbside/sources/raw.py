@@ -25,34 +25,51 @@ def header(spark: SparkSession, path: str, sep: str = ";") -> list[str]:
             .option("inferSchema", False).csv(path).columns)
 
 
-def read_table(spark: SparkSession, folder: str, table: str, sep: str = ";") -> DataFrame:
-    """All years of one raw table as text, with ``file_year`` and ``_src_pos``.
-
-    Files are grouped by header, one scan per distinct header (2019 and 2020 have no user
-    id), and united by name.  ``_src_pos`` orders rows as in the files.
-    """
+def _scans(spark: SparkSession, folder: str, table: str, sep: str) -> dict[tuple, DataFrame]:
+    """One scan per distinct header of a table's yearly files."""
     prefix = schemas.FILE_PREFIX[table]
     by_header: dict[tuple, list[str]] = {}
     for path in _files(spark, f"{folder}/{prefix}-[0-9][0-9][0-9][0-9].csv"):
         by_header.setdefault(tuple(header(spark, path, sep)), []).append(path)
     if not by_header:
         raise FileNotFoundError(f"no yearly {prefix} files in {folder}")
-    scans = []
+    scans = {}
     for columns, paths in by_header.items():
         scan = (spark.read.schema(schemas.raw_schema(list(columns))).option("sep", sep)
                 .option("header", True).csv(paths))
-        scans.append(scan.select(
+        scans[columns] = scan.select(
             *columns,
             F.regexp_extract("_metadata.file_name", YEAR_IN_NAME, 1).try_cast("int").alias("file_year"),
             F.struct(F.col("_metadata.file_path").alias("file"),
                      F.col("_metadata.file_block_start").alias("block"),
-                     F.monotonically_increasing_id().alias("row")).alias("_src_pos")))
+                     F.monotonically_increasing_id().alias("row")).alias("_src_pos"))
+    return scans
+
+
+def _union(scans: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
+def read_table(spark: SparkSession, folder: str, table: str, sep: str = ";") -> DataFrame:
+    """All years of one raw table as text, with ``file_year`` and ``_src_pos``.
+
+    Columns that some years lack are NULL there.  ``_src_pos`` orders rows as in the files.
+    """
+    return _union(list(_scans(spark, folder, table, sep).values()))
+
+
 def read_raw(spark: SparkSession, folder: str, sep: str = ";") -> dict[str, DataFrame]:
-    """The four raw tables over all years found in the folder."""
-    return {t: read_table(spark, folder, t, sep) for t in schemas.FILE_PREFIX}
+    """The raw tables over all years found in the folder.
+
+    Users of years whose files have no user id come apart, as ``users_without_id``.
+    """
+    out = {t: read_table(spark, folder, t, sep) for t in schemas.FILE_PREFIX if t != "users"}
+    users = _scans(spark, folder, "users", sep)
+    for name, test in (("users", True), ("users_without_id", False)):
+        part = [df for columns, df in users.items() if ("id_usager" in columns) is test]
+        if part:
+            out[name] = _union(part)
+    return out
 
 
 def years_in(spark: SparkSession, folder: str) -> list[int]:
