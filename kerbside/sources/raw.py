@@ -14,9 +14,10 @@ YEAR_IN_NAME = r"-(\d{4})\.csv"
 
 
 def _files(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths matching a glob, listed by the file system the session uses (no data read)."""
-    listing = (spark.read.format("binaryFile").load(pattern).select("path"))
-    return sorted(r["path"] for r in listing.collect())
+    """Files and folders matching a glob on whatever file system the path names."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(status.getPath().toString() for status in system.globStatus(path) or [])
 
 
 def header(spark: SparkSession, path: str, sep: str = ";") -> list[str]:
