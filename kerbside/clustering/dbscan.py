@@ -132,7 +132,7 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """
     current = durable(edges.select(F.least("u", "v").alias("v"), F.greatest("u", "v").alias("u"))
                       .filter("u <> v").distinct())
-    signature = None
+    size = -1
     for _ in range(max_rounds):
         both = current.unionByName(current.select(F.col("u").alias("v"), F.col("v").alias("u")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
@@ -142,11 +142,10 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         joined = large.join(low, "u")
         small = (joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(joined.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
-        current = durable(small)
-        row = current.agg(F.count(F.lit(1)).alias("n"), F.sum(F.hash("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if (row["n"], row["h"]) == signature:
+        before, current = current, durable(small)
+        size, last = current.count(), size
+        if size == last and current.join(before, ["u", "v"], "left_anti").isEmpty():
             break
-        signature = (row["n"], row["h"])
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 

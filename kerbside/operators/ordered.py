@@ -164,10 +164,13 @@ def random_draw_impute(df: DataFrame, column: str, keys: list[str], seed=42) ->
 
 
 # ---- running sums over an ordered value --------------------------------------------
-SPLIT_BITS = 8    # 256 value ranges per group
+def split_bits(df: DataFrame) -> int:
+    """Bits of the number of value ranges: twice the shuffle partitions, 256 to 4096."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(12, max(8, (2 * partitions - 1).bit_length()))
 
 
-def value_splits(df: DataFrame, by: list[str], value: str, bits: int = SPLIT_BITS) -> DataFrame:
+def value_splits(df: DataFrame, by: list[str], value: str, bits: int) -> DataFrame:
     """Approximate split points of ``value`` per group, as an array (mergeable sketch)."""
     parts = 2 ** bits
     probs = F.array(*[F.lit(i / parts) for i in range(1, parts)])
@@ -175,14 +178,14 @@ def value_splits(df: DataFrame, by: list[str], value: str, bits: int = SPLIT_BIT
         F.percentile_approx(value, probs, 4 * parts)).alias("_splits"))
 
 
-def with_value_bucket(df: DataFrame, by: list[str], value: str, bits: int = SPLIT_BITS,
-                      splits: DataFrame | None = None) -> DataFrame:
+def with_value_bucket(df: DataFrame, by: list[str], value: str, bits: int | None = None) -> DataFrame:
     """Add ``_bucket``: how many split points of the group lie below ``value``.
 
     Found by halving, one comparison per bit.  Equal values always share a bucket, so a
     result never depends on where the approximate split points fall.
     """
-    splits = pin_small(value_splits(df, by, value, bits) if splits is None else splits)
+    bits = split_bits(df) if bits is None else bits
+    splits = pin_small(value_splits(df, by, value, bits))
     out = match_null_safe(df, splits, by).withColumn("_bucket", F.lit(0))
     for bit in reversed(range(bits)):
         step = 2 ** bit
@@ -192,7 +195,7 @@ def with_value_bucket(df: DataFrame, by: list[str], value: str, bits: int = SPLI
 
 
 def running_sums(df: DataFrame, by: list[str], value: str, sums: list[str],
-                 descending: bool = False, bits: int = SPLIT_BITS) -> DataFrame:
+                 descending: bool = False, bits: int | None = None) -> DataFrame:
     """Running sums in order of a value that is distinct inside each group.
 
     Adds ``<name>_cum`` for each summed column; the current row is included.

@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kerbside.operators.ordered import (SPLIT_BITS, first_per_key, range_offsets,
-                                        with_value_bucket)
+from kerbside.operators.ordered import range_offsets, with_value_bucket
 from kerbside.session import match_null_safe, pin_small
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
@@ -177,7 +176,7 @@ def minus_one_counts(df: DataFrame, columns: list[str] | None = None) -> DataFra
 
 # ---- numbers ----------------------------------------------------------------------
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
-                    by: list[str] | None = None, bits: int = SPLIT_BITS) -> DataFrame:
+                    by: list[str] | None = None, bits: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation, long: (by..., column, prob, quantile).
 
     Selection instead of sorting: a mergeable sketch cuts the values into ranges, counts

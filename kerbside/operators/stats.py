@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from kerbside.operators.profile import long_form
+from kerbside.session import pin_small
 
 
 # ---- tail probabilities -------------------------------------------------------------
@@ -92,20 +93,24 @@ def chi2_independence(df: DataFrame, features: list[str], target: str,
     cells = (long_form(df.filter(F.col(target).isNotNull()), features, "string", [target])
              .filter(F.col("value").isNotNull())
              .groupBy("column", "value", target).agg(F.count(F.lit(1)).alias("o")))
-    by_row, by_col = W.partitionBy("column", "value"), W.partitionBy("column", target)
-    cells = cells.withColumns({"r": F.sum("o").over(by_row), "c": F.sum("o").over(by_col),
-                               "n": F.sum("o").over(W.partitionBy("column")),
-                               "_ri": F.row_number().over(by_row.orderBy(target)),
-                               "_ci": F.row_number().over(by_col.orderBy("value"))})
+    # A row of the table has as many cells as the target has classes; the column sums are
+    # one row per feature and class.
+    by_row = W.partitionBy("column", "value")
+    cells = cells.withColumns({"r": F.sum("o").over(by_row),
+                               "_first": F.row_number().over(by_row.orderBy(target)) == 1})
+    sums = pin_small(cells.groupBy("column", F.col(target).alias("_t")).agg(F.sum("o").alias("c")))
+    totals = F.broadcast(sums.groupBy("column").agg(
+        F.sum("c").alias("n"), F.sum(1.0 / F.col("c")).alias("_ic"), F.count(F.lit(1)).alias("cols"))
+        .withColumnRenamed("column", "_column"))
+    cells = cells.join(sums.withColumnRenamed("column", "_column"),
+                       (F.col("column") == F.col("_column")) & (F.col(target) == F.col("_t"))).drop("_column")
+    cells = cells.join(totals, F.col("column") == F.col("_column")).drop("_column")
     e = F.col("r") * F.col("c") / F.col("n")
-    t = cells.groupBy("column").agg(
-        F.max("n").alias("n"),
+    t = cells.groupBy("column", "n", "_ic", "cols").agg(
         F.sum(F.col("o") * F.col("o") / e).alias("_s"),
         F.max(F.abs(F.col("o") - e)).alias("_d"),
-        F.sum(F.when(F.col("_ri") == 1, 1.0 / F.col("r"))).alias("_ir"),
-        F.sum(F.when(F.col("_ci") == 1, 1.0 / F.col("c"))).alias("_ic"),
-        F.count(F.when(F.col("_ri") == 1, 1)).alias("rows"),
-        F.count(F.when(F.col("_ci") == 1, 1)).alias("cols"))
+        F.sum(F.when(F.col("_first"), 1.0 / F.col("r"))).alias("_ir"),
+        F.count(F.when(F.col("_first"), 1)).alias("rows"))
     corrected = F.col("_d") - F.least(F.lit(0.5), F.col("_d"))
     t = t.withColumn("dof", (F.col("rows") - 1) * (F.col("cols") - 1)).withColumn(
         "chi2", F.when(F.col("dof") == 0, 0.0)
