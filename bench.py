@@ -7,10 +7,10 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-HEADLINE = ["accident_table", "star_join", "antagonist", "best_row_per_key", "category_counts", "complexity_index",
+HEADLINE = ["star_join", "antagonist", "best_row_per_key", "category_counts", "complexity_index",
             "any_flag", "conditional_impute", "column_profile", "not_reported", "crosstab_norm", "chi2_cramers_v",
             "corr_matrix", "undersample", "stratified_folds", "class_report", "kappa", "pr_curve", "threshold_grid",
-            "cluster_lift", "kproto_assign", "risk_label", "what_if"]
+            "cluster_lift", "kproto_assign", "risk_label", "what_if", "accident_table"]
 
 
 def main():
