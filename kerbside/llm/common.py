@@ -38,6 +38,13 @@ def fits_broadcast(rows: int, bytes_per_row: int) -> bool:
     return rows * bytes_per_row <= BROADCAST_BYTES
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in small parts, so that a task holds few texts as Python objects at a time."""
+    for batch in batches:
+        for at in range(0, max(1, batch.num_rows), rows):
+            yield batch.slice(at, rows)
+
+
 def with_columns_from(df: DataFrame, fields: list[T.StructField],
                       make: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]]) -> DataFrame:
     """``df`` with columns computed per Arrow batch; a column of the same name is replaced.
@@ -52,7 +59,7 @@ def with_columns_from(df: DataFrame, fields: list[T.StructField],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in old] + compute(batch), names=names)
 
     return df.mapInArrow(run, schema)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import stored
+from kerbside.llm.common import slices, stored
 
 WINDOW = 8
 SHARE = 0.5         # of an item's windows
@@ -67,7 +67,7 @@ def template(text: str) -> tuple[list[str], list[str]]:
 class Codes(dict):
     """64-bit code of each token as it stands in a text; units are told by what stands before them."""
 
-    LIMIT = 500_000
+    LIMIT = 200_000
 
     def __missing__(self, token: str) -> int:
         if len(self) > self.LIMIT:
@@ -168,11 +168,11 @@ def possible_hits(docs: DataFrame, bitmap: bytes, window: int, short: list[int])
                 for d, i, x in zip(doc[inside].tolist(), (at - starts[doc])[inside].tolist(), h[at[inside]].tolist()):
                     yield d, i, x, n
 
-        for batch in batches:
+        for batch in slices(batches):
             rows, docs_, texts, parts, held = [], batch.column(0).to_pylist(), batch.column(1).to_pylist(), [], 0
             first = 0
             for k in range(len(texts) + 1):
-                if k == len(texts) or held >= 1_000_000:
+                if k == len(texts) or held >= 300_000:
                     if held:
                         made = {}
                         for d, i, x, n in search(texts, parts):

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import salts, stored
+from kerbside.llm.common import salts, slices, stored
 
 SIZE = 2048
 END_ID = 0
@@ -48,7 +48,7 @@ def byte_signs() -> dict[int, str]:
 class Encoder:
     """Ids of a text as little-endian bytes; words are looked up, new ones go through the model."""
 
-    LIMIT = 400_000
+    LIMIT = 120_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -84,32 +84,28 @@ class Encoder:
         return b"".join(out)
 
 
-def pieces(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32, ids) per piece; ids as little-endian 32-bit numbers."""
+def pieces(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32, ids) per piece; ids as little-endian 32-bit numbers, if asked for."""
     end = np.array([end_id], "<u4").tobytes()
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
     def run(batches):
         encoder = Encoder(path)
-        for batch in batches:
-            out, held = [[] for _ in range(6)], 0
-
-            def flush():
-                return pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(),
-                                                          pa.binary()))],
-                    names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
-
+        for batch in slices(batches):
+            out, held = [[] for _ in names], 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = encoder.encode(text or "") + end
                 for k, at in enumerate(range(0, len(ids), 4 * size)):
                     part = ids[at:at + 4 * size]
-                    for column, v in zip(out, (doc, k, at // 4, len(part) // 4, zlib.crc32(part), part)):
+                    for column, v in zip(out, (doc, k, at // 4, len(part) // 4, zlib.crc32(part),
+                                               part if with_ids else None)):
                         column.append(v)
                     held += len(part)
                 if held > 16 << 20:
-                    yield flush()
-                    out, held = [[] for _ in range(6)], 0
-            yield flush()
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=names)
+                    out, held = [[] for _ in names], 0
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=names)
 
     return docs.select("doc_id", "text").mapInArrow(
         run, "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary")
@@ -258,7 +254,7 @@ def pack(cut: DataFrame, size: int = SIZE) -> DataFrame:
 
 def packed(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID) -> DataFrame:
     """Every piece of ``docs`` with its place: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return pack(stored(pieces(docs, path, size, end_id).drop("ids"), "pieces"), size)
+    return pack(stored(pieces(docs, path, size, end_id, with_ids=False).drop("ids"), "pieces"), size)
 
 
 def sequences(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID) -> DataFrame:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import components, stored
+from kerbside.llm.common import components, slices, stored
 
 HOT = 256           # fingerprints under one segment value from which it is worked on in blocks
 BLOCK = 2048        # fingerprints of a table's block
@@ -55,7 +55,7 @@ def fingerprint(text: bytes, words: int, seed: int = 42) -> int:
 def fingerprints(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, fp) per row; fp is the fingerprint as a signed 64-bit number."""
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             text = batch.column(1).cast(pa.binary()).to_pylist()
             fp = np.array([fingerprint(t or b"", words) for t in text], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64())], names=["doc_id", "fp"])

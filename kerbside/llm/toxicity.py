@@ -28,10 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbside.llm.common import labelled, with_columns_from
+from kerbside.llm.common import labelled, slices, with_columns_from
 
 SAMPLE_ROWS = 20_000      # labelled rows the model is fitted to, at most
 THRESHOLD = 0.7
+MEMO = 200_000            # words whose match is remembered
 WINDOW = 8                # words on either side of a match
 STEM = (4, 12)            # shortest and longest beginning that may become a stem
 PRECISION = 0.9           # of a term on the training rows, documents counted
@@ -171,7 +172,7 @@ def features(text: str, automaton: Automaton, known: frozenset[str], memo: dict)
         m = memo.get(w, 0)
         if m == 0:
             m = None if w in known else automaton.match(w)
-            if len(memo) > 500_000:
+            if len(memo) > MEMO:
                 memo.clear()
             memo[w] = m
         if m is not None:
@@ -213,9 +214,10 @@ def _counts(sample: DataFrame, terms_of) -> DataFrame:
     """(term, n): how many documents of ``sample`` (text) have each term; summed per batch first."""
     def run(batches):
         for batch in batches:
-            counts = Counter()
-            for text in batch.column(0).to_pylist():
-                counts.update(terms_of(set(WORD.findall((text or "").lower()))))
+            counts: Counter = Counter()
+            for part in slices([batch]):
+                for text in part.column(0).to_pylist():
+                    counts.update(terms_of(set(WORD.findall((text or "").lower()))))
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()),
                                               pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
     return sample.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
