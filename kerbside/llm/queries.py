@@ -49,7 +49,7 @@ def op6_packing(spark, sf):
 # fixed values: the rules of the URL query, and the hosts its list holds
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
          ("com", "/fr/", "allow"), ("com", "/de/", "block")]
-LISTED = ["https://spam-farm.example.org/", "https://cheap-pills.example.com/"]
+LISTED = ["https://spam-farm.example.org/", "https://cheap-pills.example.com/", "https://adult-x.example.net/"]
 
 
 def op7_urls(spark, sf):
@@ -111,7 +111,7 @@ SQL = {
                           regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path from pages),
         r as (select * from (values ('org', '/', 'allow', 1), ('example.org', '/es/', 'block', 1),
                 ('example.org', '/en/1', 'block', 1), ('com', '/fr/', 'allow', 1), ('com', '/de/', 'block', 1),
-                ('spam-farm.example.org', '/', 'block', 0), ('cheap-pills.example.com', '/', 'block', 0))
+                ('spam-farm.example.org', '/', 'block', 0), ('cheap-pills.example.com', '/', 'block', 0), ('adult-x.example.net', '/', 'block', 0))
                 as t(h, p, action, rank)),
         b as (select p.host, p.path, max((length(r.h || r.p), r.h || r.p, r.action)) filter (where rank = 1) as rule,
                      bool_or(rank = 0) as listed
