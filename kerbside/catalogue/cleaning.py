@@ -320,7 +320,7 @@ _MD5 = "md5(concat_ws('|', '42', CAST({k} AS VARCHAR)))"
 @query(f"""WITH t AS (SELECT event_id, user_id, CASE WHEN event_type = 'click' THEN NULL ELSE value END AS value, {_MD5.format(k='event_id')} AS h FROM events),
 pool AS (SELECT value AS v, row_number() OVER (ORDER BY h, event_id) AS pos FROM t WHERE value IS NOT NULL), n AS (SELECT count(*) AS n FROM pool)
 SELECT event_id, user_id, value FROM t WHERE value IS NOT NULL UNION ALL
-SELECT event_id, user_id, v FROM (SELECT event_id, user_id, CAST(floor(CAST(('0x' || substr(h, 26, 7)) AS BIGINT) / 268435456.0 * (SELECT n FROM n)) AS BIGINT) + 1 AS p FROM t WHERE value IS NULL) m
+SELECT event_id, user_id, v FROM (SELECT event_id, user_id, CAST(floor(CAST(('0x' || substr(h, 20, 13)) AS BIGINT) / 4503599627370496.0 * (SELECT n FROM n)) AS BIGINT) + 1 AS p FROM t WHERE value IS NULL) m
  JOIN pool ON m.p = pool.pos""")
 def random_draw_impute(spark, sf):
     e = table(spark, sf, "events").select("event_id", "user_id",

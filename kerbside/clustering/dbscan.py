@@ -88,6 +88,17 @@ def _box_distances(pairs: DataFrame) -> DataFrame:
                               "high": F.pow(reach(*x), 2) + F.pow(reach(*y), 2)})
 
 
+def _point_links(core: DataFrame, pairs: DataFrame, side: float, level: int, eps: float) -> DataFrame:
+    """Pairs of cells among ``pairs`` of boxes that hold two points within eps."""
+    step = side / 4 ** level
+    points = core.select("x", "y", *CELL, F.floor((F.col("x") - F.col("cx") * side) / step).alias("si"),
+                         F.floor((F.col("y") - F.col("cy") * side) / step).alias("sj")).distinct()
+    a = points.toDF("x", "y", "ax", "ay", "a_i", "a_j")
+    b = points.toDF("px", "py", "bx", "by", "b_i", "b_j")
+    return (pairs.join(a, ["ax", "ay", "a_i", "a_j"]).join(b, ["bx", "by", "b_i", "b_j"]).filter(_near(eps))
+            .select("ax", "ay", "bx", "by").distinct())
+
+
 def _cell_links(core: DataFrame, eps: float, max_level: int = 26) -> DataFrame:
     """Pairs of neighbouring cells (ax, ay, bx, by) with core points within eps."""
     side, limit = _side(eps), eps * eps
@@ -117,12 +128,12 @@ def _cell_links(core: DataFrame, eps: float, max_level: int = 26) -> DataFrame:
         active = (parents.join(left, ["ax", "ay", "a_pi", "a_pj"]).join(right, ["bx", "by", "b_pi", "b_pj"])
                   .drop("a_pi", "a_pj", "b_pi", "b_pj"))
     else:
-        # Boxes of a few units in the last place: decide by their nearest sides.
-        links = links.unionByName(_box_distances(active).filter(F.col("low") <= limit).select(*pair).distinct())
+        # Boxes of a few units in the last place: decide by the distinct points in them.
+        links = links.unionByName(_point_links(core, judged, side, max_level - 1, eps))
     return durable(links.distinct())
 
 
-def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) for the nodes of undirected edges (u, v); the component is its
     smallest node.
 
@@ -132,8 +143,8 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """
     current = durable(edges.select(F.least("u", "v").alias("v"), F.greatest("u", "v").alias("u"))
                       .filter("u <> v").distinct())
-    size = -1
-    for _ in range(max_rounds):
+    size, done = -1, False
+    while not done:
         both = current.unionByName(current.select(F.col("u").alias("v"), F.col("v").alias("u")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
         large = (both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -144,8 +155,7 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
                  .unionByName(joined.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
         before, current = current, durable(small)
         size, last = current.count(), size
-        if size == last and current.join(before, ["u", "v"], "left_anti").isEmpty():
-            break
+        done = size == last and current.join(before, ["u", "v"], "left_anti").isEmpty()
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 

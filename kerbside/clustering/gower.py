@@ -26,13 +26,14 @@ def ranges(df: DataFrame, numeric: list[str]) -> dict[str, float]:
 
 def distance(left: str, right: str, numeric: dict[str, float], categorical: list[str]) -> Column:
     """Gower distance of two structs of one row: mean over the columns of the scaled
-    difference (numbers) or of inequality (categories)."""
+    difference (numbers) or of inequality (categories; NULL is one of them).  A number
+    unknown on either side takes no part; NULL if no column does."""
     def l(c): return F.col(f"{left}.{c}")
     def r(c): return F.col(f"{right}.{c}")
-    parts = [F.abs(l(c).cast("double") - r(c).cast("double")) / F.lit(span) if span else F.lit(0.0)
-             for c, span in numeric.items()]
+    parts = [F.abs(l(c).cast("double") - r(c).cast("double")) / F.lit(span or 1.0) for c, span in numeric.items()]
     parts += [F.when(l(c).eqNullSafe(r(c)), 0.0).otherwise(1.0) for c in categorical]
-    return reduce(lambda a, b: a + b, parts) / F.lit(float(len(parts)))
+    known = reduce(lambda a, b: a + b, [F.when(p.isNull(), 0.0).otherwise(1.0) for p in parts])
+    return reduce(lambda a, b: a + b, [F.coalesce(p, F.lit(0.0)) for p in parts]) / F.nullif(known, F.lit(0.0))
 
 
 def to_groups(df: DataFrame, key: str, group: str, groups: list, numeric: list[str],
@@ -40,9 +41,10 @@ def to_groups(df: DataFrame, key: str, group: str, groups: list, numeric: list[s
     """Mean Gower distance of every row to every group: (key, own, group, distance).
 
     ``groups`` lists the group values.  Inside its own group a row is not compared with
-    itself.
+    itself.  A number's mean distance is over the group's known values; columns whose
+    number the row or the whole group lacks take no part in the row's mean.  Every row
+    stays; its distance is NULL if no column takes part.
     """
-    p = float(len(numeric) + len(categorical))
     span = ranges(df, numeric)
     sizes = {r["g"]: r["n"] for r in df.groupBy(F.col(group).alias("g")).agg(
         F.count(F.lit(1)).alias("n")).filter(F.col("g").isin(groups)).collect()}
@@ -52,31 +54,37 @@ def to_groups(df: DataFrame, key: str, group: str, groups: list, numeric: list[s
 
     parts = []
     if numeric:
-        cells = long_form(df, numeric, "double", [key, group])
+        cells = long_form(df, numeric, "double", [key, group]).filter(F.col("value").isNotNull())
         per = cells.groupBy("column", "value").agg(*hits)
         per = per.withColumns({f"s{i}": F.col(f"n{i}") * F.col("value") for i in k})
         run = running_sums(per, ["column"], "value", [f"{x}{i}" for x in "ns" for i in k])
-        totals = F.broadcast(per.groupBy("column").agg(*[F.sum(f"s{i}").alias(f"t{i}") for i in k]))
+        totals = F.broadcast(per.groupBy("column").agg(*[F.sum(f"s{i}").alias(f"t{i}") for i in k],
+                                                       *[F.sum(f"n{i}").alias(f"k{i}") for i in k]))
         scale = F.element_at(F.create_map(*[F.lit(x) for c in numeric for x in (c, span[c] or 1.0)]), F.col("column"))
         sums = run.join(totals, "column").select("column", "value", *[
-            ((F.col("value") * (2 * F.col(f"n{i}_cum") - size[i]) + F.col(f"t{i}")
-              - 2 * F.col(f"s{i}_cum")) / scale).alias(f"d{i}") for i in k])
-        parts.append(cells.join(sums, ["column", "value"]).select(key, *[f"d{i}" for i in k]))
+            ((F.col("value") * (2 * F.col(f"n{i}_cum") - F.col(f"k{i}")) + F.col(f"t{i}")
+              - 2 * F.col(f"s{i}_cum")) / scale).alias(f"d{i}") for i in k], *[f"k{i}" for i in k])
+        parts.append(cells.join(sums, ["column", "value"]).select(key, *_means(groups, group)))
     if categorical:
         cells = long_form(df, categorical, "string", [key, group])
         per = cells.groupBy("column", "value").agg(*hits)
-        misses = per.select("column", "value", *[(size[i] - F.col(f"n{i}")).alias(f"d{i}") for i in k])
-        parts.append(match_null_safe(cells, misses, ["column", "value"]).select(key, *[f"d{i}" for i in k]))
+        misses = per.select("column", "value", *[(size[i] - F.col(f"n{i}")).alias(f"d{i}") for i in k],
+                            *[F.lit(size[i]).alias(f"k{i}") for i in k])
+        parts.append(match_null_safe(cells, misses, ["column", "value"]).select(key, *_means(groups, group)))
     summed = reduce(lambda a, b: a.unionByName(b), parts).groupBy(key).agg(
-        *[F.sum(f"d{i}").alias(f"d{i}") for i in k])
-    joined = df.select(key, F.col(group).alias("own")).join(summed, key)
-    cells = F.array(*[F.struct(
-        F.lit(g).alias("group"),
-        (F.col(f"d{i}") / p / F.greatest(F.lit(1.0), F.lit(size[i]) - F.when(
-            F.col("own") == g, 1.0).otherwise(0.0))).alias("distance")) for i, g in enumerate(groups)])
+        *[F.avg(f"d{i}").alias(f"d{i}") for i in k])
+    joined = df.select(key, F.col(group).alias("own")).join(summed, key, "left")
+    cells = F.array(*[F.struct(F.lit(g).alias("group"), F.col(f"d{i}").alias("distance"))
+                      for i, g in enumerate(groups)])
     return joined.select(key, "own", F.inline(cells))
 
 
+def _means(groups: list, group: str) -> list[Column]:
+    """Sum over a group's known values to their mean, the row itself left out; NULL if the group knows none."""
+    return [F.when(F.col(f"k{i}") > 0, F.col(f"d{i}") / F.greatest(F.lit(1.0), F.col(f"k{i}") - F.when(
+        F.col(group) == g, 1.0).otherwise(0.0))).alias(f"d{i}") for i, g in enumerate(groups)]
+
+
 def group_linkage(distances: DataFrame) -> DataFrame:
     """Average linkage: mean distance between the rows of two groups."""
     return (distances.filter(F.col("own") != F.col("group")).groupBy("own", "group")

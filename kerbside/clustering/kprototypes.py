@@ -68,6 +68,7 @@ class KPrototypesModel:
     gamma: float
     cost: float
     rounds: int
+    converged: bool
 
     def transform(self, df: DataFrame, label: str = "cluster") -> DataFrame:
         return assign(df, self.prototypes, self.numeric, self.categorical, self.gamma, label)
@@ -81,7 +82,7 @@ class KPrototypes:
     gamma: float | None = None
     restarts: int = 5
     seed: int = 42
-    max_rounds: int = 20
+    max_rounds: int | None = None      # None: until the cost falls no more
 
     def _start(self, rows: DataFrame, seed: int) -> list[dict]:
         """k different rows: the smallest digests of the row values, one aggregate each."""
@@ -112,15 +113,16 @@ class KPrototypes:
             rows.unpersist()
 
     def _run(self, rows: DataFrame, prototypes: list[dict], gamma: float) -> KPrototypesModel:
-        cost, round_no = float("inf"), 0
-        for round_no in range(1, self.max_rounds + 1):
+        cost, round_no, converged = float("inf"), 0, False
+        while not converged and (self.max_rounds is None or round_no < self.max_rounds):
+            round_no += 1
             labelled = assign(rows, prototypes, self.numeric, self.categorical, gamma, cost="_cost")
             updated, new_cost = self._update(labelled, prototypes)
             if updated == prototypes or new_cost >= cost:
-                cost = min(cost, new_cost)
-                break
-            prototypes, cost = updated, new_cost
-        return KPrototypesModel(prototypes, self.numeric, self.categorical, gamma, cost, round_no)
+                cost, converged = min(cost, new_cost), True
+            else:
+                prototypes, cost = updated, new_cost
+        return KPrototypesModel(prototypes, self.numeric, self.categorical, gamma, cost, round_no, converged)
 
     def _update(self, labelled: DataFrame, old: list[dict]) -> tuple[list[dict], float]:
         """Means and modes per cluster, and the cost of the old prototypes.

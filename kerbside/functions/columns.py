@@ -47,7 +47,7 @@ def decimal_comma(c) -> Column:
 
 def code(c) -> Column:
     """Register code as int; tolerates blanks around it and a trailing ``.0``."""
-    return F.substring_index(_col(c).cast("string"), ".0", 1).try_cast("int")
+    return F.regexp_replace(F.trim(_col(c).cast("string")), r"\.0$", "").try_cast("int")
 
 
 def lane_count(c) -> Column:
@@ -240,5 +240,5 @@ def shuffle_key(columns: list, seed=42) -> Column:
 
 
 def hash_unit(key: Column) -> Column:
-    """Number in [0, 1) from the last seven digits of a hex digest."""
-    return F.conv(F.substring(key, 26, 7), 16, 10).cast("double") / F.lit(float(16 ** 7))
+    """Number in [0, 1) from the last thirteen digits of a hex digest: 52 bits, all a double holds."""
+    return F.conv(F.substring(key, 20, 13), 16, 10).cast("double") / F.lit(float(16 ** 13))

@@ -19,7 +19,7 @@ from pyspark.sql.types import DoubleType
 
 from kerbside.functions import columns as fc
 
-POOL = 65_536     # rows from which all trees draw
+SPARE = 1.5       # rows drawn for a tree, per row it needs
 
 
 def mean_path(n: float) -> float:
@@ -94,15 +94,18 @@ def fit(df: DataFrame, features: list[str], keys: list[str], trees: int = 1000,
                      *[F.coalesce(F.col(c).cast("double"), F.lit(-1.0)).alias(f"c{i}") for i, c in enumerate(features)])
     n = rows.count()
     size = min(sample, n)
-    share = min(1.0, POOL / max(n, 1))
-    pool = rows if share == 1.0 else rows.filter(fc.hash_unit(F.col("_h")) < share)
-    expected = max(n * share, 1.0)
-    chance = min(1.0, (2.0 * size + 64) / expected)
-    # Every tree orders the pool by a digest of its own; rows far down the order leave early.
-    drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    wanted = SPARE * size + 64
+    if n <= wanted:
+        # fewer rows than one tree may want: all of them, for every tree
+        drawn = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    else:
+        # Any row may be drawn for any tree. Each round sends a row to one tree or to none, by digest.
+        rounds = math.ceil(trees * wanted / n)
+        drawn = rows.withColumn("_r", F.explode(F.sequence(F.lit(1), F.lit(rounds))))
+        drawn = drawn.filter(fc.hash_unit(F.md5(F.concat("_h", F.col("_r").cast("string")))) < trees * wanted / n / rounds)
+        drawn = (drawn.withColumn("tree", F.pmod(F.xxhash64("_h", "_r"), F.lit(trees)).cast("int"))
+                 .drop("_r").dropDuplicates(["tree", "_h"]))
     drawn = drawn.withColumn("_o", F.xxhash64("_h", "tree"))
-    cut = int(-2 ** 63 + chance * (2 ** 64 - 1)) if chance < 1.0 else 2 ** 63 - 1
-    drawn = drawn.filter(F.col("_o") <= F.lit(cut))
     w = W.partitionBy("tree").orderBy("_o", "_h")
     drawn = drawn.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= size)
     columns = [f"c{i}" for i in range(len(features))]

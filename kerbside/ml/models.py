@@ -81,11 +81,15 @@ def _columns(i: int) -> dict:
 def ridge(df: DataFrame, target: str, classes: list[int], alpha: float = 1.5,
           vector: str = "features") -> SeverityModel:
     """Least squares with penalty alpha on -1/+1 targets, one fit per class; highest value wins."""
-    n = df.count()
+    counts = {r[0]: r[1] for r in df.groupBy(target).agg(F.count(F.lit(1))).collect()}
+    n = sum(counts.values())
     parts = []
     for i, c in enumerate(classes):
+        share = counts.get(c, 0) / n
+        # The solver divides the penalty by the target's deviation.
+        spread = 2 * (share * (1 - share)) ** 0.5
         rows = df.withColumn("_y", F.when(F.col(target) == c, 1.0).otherwise(-1.0))
-        fit = LinearRegression(featuresCol=vector, labelCol="_y", predictionCol=f"_pred{i}", regParam=alpha / n,
+        fit = LinearRegression(featuresCol=vector, labelCol="_y", predictionCol=f"_pred{i}", regParam=alpha / n * spread,
                                elasticNetParam=0.0, standardization=False, solver="normal", maxIter=1)
         parts.append(fit.fit(rows))
     return SeverityModel(PipelineModel(parts), "decision", classes)

@@ -8,15 +8,18 @@ from pyspark.ml.feature import (OneHotEncoder, SQLTransformer, StringIndexer, St
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_CATEGORIES = 10_000
+MAX_CATEGORIES = 10_000     # default of ``most``: slots a category may take up in the vector
 
 
-def domain(df: DataFrame, column: str) -> list[str]:
-    """Known values of a column as text, in the column's own order (numbers as numbers)."""
+def domain(df: DataFrame, column: str, most: int = MAX_CATEGORIES) -> list[str]:
+    """Known values of a column as text, in the column's own order (numbers as numbers).
+
+    More than ``most`` values are an error: every value is a slot or a label of the saved model.
+    """
     rows = (df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)))
-            .orderBy(column).limit(MAX_CATEGORIES + 1).select(F.col(column).cast("string").alias("v")).collect())
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"{column} has more than {MAX_CATEGORIES} values: not a category")
+            .orderBy(column).limit(most + 1).select(F.col(column).cast("string").alias("v")).collect())
+    if len(rows) > most:
+        raise ValueError(f"{column} has more than {most} values: not a category")
     return [r["v"] for r in rows]
 
 
@@ -26,9 +29,9 @@ def _run(stages: list, df: DataFrame) -> DataFrame:
     return df
 
 
-def one_hot(df: DataFrame, column: str, into: str) -> list:
+def one_hot(df: DataFrame, column: str, into: str, most: int = MAX_CATEGORIES) -> list:
     """0/1 per category without the first one; unknown values give zeros only."""
-    known = domain(df, column)
+    known = domain(df, column, most)
     # Reverse order puts the first category last, next to the slot of unknown values.
     index = StringIndexerModel.from_labels(known[::-1], inputCol=f"{column}_text", outputCol=f"{column}_ix",
                                            handleInvalid="keep")
@@ -41,14 +44,16 @@ def one_hot(df: DataFrame, column: str, into: str) -> list:
     return [text, index, fitted, cut]
 
 
-def ordinal(df: DataFrame, column: str, into: str, values: list | None = None) -> list:
+def ordinal(df: DataFrame, column: str, into: str, values: list | None = None, most: int = MAX_CATEGORIES) -> list:
     """Position in the sorted (or given) domain, -1 for unknown values."""
-    known = domain(df, column) if values is None else [str(v) for v in values]
-    cases = " ".join("WHEN '{}' THEN {}".format(v.replace("'", "\\'"), i) for i, v in enumerate(known))
+    known = domain(df, column, most) if values is None else list(dict.fromkeys(str(v) for v in values))
     if not known:
         return [SQLTransformer(statement=f"SELECT *, -1.0D AS `{into}` FROM __THIS__")]
-    return [SQLTransformer(statement=(
-        f"SELECT *, CAST(CASE CAST(`{column}` AS STRING) {cases} ELSE -1 END AS DOUBLE) AS `{into}` FROM __THIS__"))]
+    text = SQLTransformer(statement=f"SELECT *, CAST(`{column}` AS STRING) AS `{into}_text` FROM __THIS__")
+    index = StringIndexerModel.from_labels(known, inputCol=f"{into}_text", outputCol=f"{into}_ix", handleInvalid="keep")
+    # unknown and missing values have the index past the last label
+    return [text, index, SQLTransformer(statement=(
+        f"SELECT *, IF(`{into}_ix` < {len(known)}, `{into}_ix`, -1.0D) AS `{into}` FROM __THIS__"))]
 
 
 def label_index(df: DataFrame, column: str, into: str):
@@ -70,18 +75,19 @@ def scaled(df: DataFrame, columns: list[str], how: str) -> list:
 
 
 def fit_encoder(df: DataFrame, one_hots: list[str] = (), ordinals: dict | list[str] = (),
-                numeric: list[str] = (), scale: str | None = None, vector: str = "features") -> PipelineModel:
+                numeric: list[str] = (), scale: str | None = None, vector: str = "features",
+                most: int = MAX_CATEGORIES) -> PipelineModel:
     """Encoder of all columns into one vector; feature names are in the vector's metadata."""
     stages, inputs, helpers = [], [], []
     for c in one_hots:
-        part = one_hot(df, c, f"{c}_cat")
+        part = one_hot(df, c, f"{c}_cat", most)
         stages += part
         if part:
             inputs.append(f"{c}_cat")
             helpers += [f"{c}_text", f"{c}_ix", f"{c}_hot", f"{c}_cat"]
     domains = ordinals if isinstance(ordinals, dict) else {c: None for c in ordinals}
     for c, values in domains.items():
-        stages += ordinal(df, c, f"{c}_ord", values)
+        stages += ordinal(df, c, f"{c}_ord", values, most)
         inputs.append(f"{c}_ord")
         helpers.append(f"{c}_ord")
     if numeric:

@@ -111,9 +111,8 @@ random_impute = ordered.random_draw_impute
 
 
 def any_positive(columns: list[str]) -> Column:
-    """1 if any of the flag columns is set."""
-    return F.coalesce(reduce(lambda a, b: F.greatest(a, b), [F.col(c) for c in columns]),
-                      F.lit(0)).cast("int")
+    """1 if any of the flag columns is above zero, else 0."""
+    return reduce(lambda a, b: a | b, [F.coalesce(F.col(c) > 0, F.lit(False)) for c in columns]).cast("int")
 
 
 def row_sum(columns: list[str]) -> Column:

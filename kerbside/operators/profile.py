@@ -23,6 +23,12 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [n for n, k in df.dtypes if k in NUMERIC or k.startswith("decimal")]
 
 
+def without_nan(df: DataFrame, columns: list[str]) -> DataFrame:
+    """NaN of the named columns turned into NULL."""
+    kinds = dict(df.dtypes)
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in columns if kinds[c] in ("double", "float")})
+
+
 def long_form(df: DataFrame, columns: list[str], kind: str = "string",
               keys: list[str] | None = None) -> DataFrame:
     """(keys..., column, value): one row per cell."""
@@ -209,8 +215,9 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     ends = hits.groupBy(*keys, "prob", "_weight").agg(
         F.min(F.when(F.col("_rank") == F.col("_low"), F.col("value"))).alias("_a"),
         F.max("value").alias("_b"))
-    return ends.select(*keys, "prob", (F.col("_a") + (F.col("_b") - F.col("_a"))
-                                       * F.col("_weight")).alias("quantile"))
+    # equal ends (two infinities too) are the quantile; only different ones are interpolated
+    return ends.select(*keys, "prob", F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(
+        F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_weight")).alias("quantile"))
 
 
 def quantiles_wide(df: DataFrame, columns: list[str], probs: dict[str, float],
@@ -223,8 +230,9 @@ def quantiles_wide(df: DataFrame, columns: list[str], probs: dict[str, float],
 
 
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """count, mean, std, min, exact quartiles, max per numeric column."""
+    """count, mean, std, min, exact quartiles, max per numeric column; NaN counts as missing."""
     names = columns or numeric_columns(df)
+    df = without_nan(df, names)
     one = df.agg(F.array(*[F.struct(
         F.lit(c).alias("column"), F.count(c).alias("n"), F.avg(c).alias("mean"),
         F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
@@ -303,7 +311,8 @@ def histogram(df: DataFrame, column: str, bins: int | None = None, width: float
 
 
 def boxplot(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Quartiles, whiskers at the last value within 1.5 IQR, and the outlier count."""
+    """Quartiles, whiskers at the last value within 1.5 IQR, and the outlier count; NaN counts as missing."""
+    df = without_nan(df, columns)
     quart = pin_small(quantiles_wide(df, columns, {"q25": 0.25, "q50": 0.5, "q75": 0.75}))
     reach = (F.col("q75") - F.col("q25")) * 1.5
     inside = (F.col("value") >= F.col("q25") - reach) & (F.col("value") <= F.col("q75") + reach)

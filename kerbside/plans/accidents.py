@@ -131,7 +131,7 @@ def selected(e: DataFrame, keep: list[str] = ("year",)) -> DataFrame:
 
 
 def clustered(f: DataFrame, k: int = 3, restarts: int = 5, by: str | None = "year",
-              seed: int = 42, max_rounds: int = 20) -> DataFrame:
+              seed: int = 42, max_rounds: int | None = None) -> DataFrame:
     """Add ``cluster`` by k-prototypes, fitted per year by default."""
     from kerbside.clustering.kprototypes import KPrototypes
     numeric = [c for c in codes.CLUSTER_NUMERIC + codes.CLUSTER_ORDINAL if c in f.columns]

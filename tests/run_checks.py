@@ -12,7 +12,7 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-             .config("spark.ui.enabled", "false").config("spark.driver.memory", "12g").getOrCreate())
+             .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "12g").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf)
     queries, sql = entry.queries(), entry.oracle_sql()
