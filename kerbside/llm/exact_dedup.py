@@ -25,7 +25,9 @@ from pyspark.sql.utils import AnalysisException
 from kerbside.llm.common import fits_broadcast, shared_folder, stored
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# the keyed state on disk; many small stores, so no file space reserved ahead
+STATE = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 
 
 def normalised(text: Column) -> Column:
@@ -68,8 +70,9 @@ def stream_state(arrivals: DataFrame, max_files: int | None = None) -> DataFrame
     updates = updates.withColumn("batch", F.lit(0).cast("long"))
     if not source:
         return updates.drop("batch")
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
     try:
         state = reader.parquet(source.pop()).groupBy("digest").agg(F.count("*").alias("n"), _best().alias("best"))
 
@@ -80,7 +83,8 @@ def stream_state(arrivals: DataFrame, max_files: int | None = None) -> DataFrame
         (state.writeStream.outputMode("update").foreachBatch(keep).trigger(availableNow=True)
          .option("checkpointLocation", f"{base}/state").start().awaitTermination())
     finally:
-        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
     log = spark.read.schema(updates.schema).parquet(f"{base}/updates")
     if max_files is None:
         return log.drop("batch")      # one micro-batch: one update per digest
