@@ -21,7 +21,7 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("bench")
              .config("spark.sql.shuffle.partitions", cpus).config("spark.ui.enabled", "false")
-             .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "16g")
+             .config("spark.ui.showConsoleProgress", "false").config("spark.sql.files.maxPartitionBytes", "2m").config("spark.driver.memory", "16g")
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{sf}/lineitem.parquet").groupBy("l_returnflag").count().collect()   # warm up

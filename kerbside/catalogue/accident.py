@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from kerbside.catalogue.cleaning import CLASS_CASE, WEIGHT_CASE
 from kerbside.catalogue.tables import table
 from kerbside.functions import codes
-from kerbside.plans import accidents
-from kerbside.session import spread
+from kerbside.plans import accidents, modelling
+from kerbside.streaming import scoring
 
 QUERIES, SQL = {}, {}
 
@@ -47,7 +47,7 @@ _POS = "l_shipdate, l_extendedprice, l_partkey, l_suppkey, l_linenumber, l_quant
 def raw_tables(spark, sf):
     def text(df, columns, position):
         return df.select(*[F.expr(e).cast("string").alias(c) for c, e in columns.items()], F.struct(*position).alias("_src_pos"))
-    lines = spread(table(spark, sf, "lineitem"), "l_orderkey", "l_partkey", "l_suppkey")
+    lines = table(spark, sf, "lineitem")
     return {"circumstances": text(table(spark, sf, "orders"), _CIRC, ["o_orderkey"]), "locations": text(lines, _LOC, _POS),
             "vehicles": text(lines, _VEH, _POS), "users": text(lines, _USR, _POS)}
 
@@ -151,4 +151,46 @@ SQL["accident_table"] = f"""WITH {_MERGE}, {_F} SELECT "Num_Acc" AS id_accident,
  role, CASE lum WHEN 5 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 3 WHEN 4 THEN 3 ELSE 0 END AS lighting_ordinal,
  CASE atm WHEN 8 THEN 1 WHEN 2 THEN 2 WHEN 7 THEN 2 WHEN 6 THEN 3 WHEN 3 THEN 3 WHEN 5 THEN 4 WHEN 4 THEN 4 ELSE 0 END AS weather_ordinal, injury_target FROM e"""
 
-QUERIES |= {"accident_merge": accident_merge, "accident_table": accident_table}
+_CODED = list(codes.ORDERED_DOMAINS)
+_MODEL = ("location type_of_collision reserved_lane_present horizontal_alignment infrastructure accident_situation speed_limit position sex "
+          "fixed_obstacle_struck mobile_obstacle_struck initial_point_of_impact main_maneuver_before_accident motor_type "
+          "fixed_obstacle_struck_other mobile_obstacle_struck_other initial_point_of_impact_other main_maneuver_before_accident_other motor_type_other "
+          + " ".join(f"vehicle_category_involved_{k}" for k in codes.SIX_CLASSES) +
+          " time_of_day day_of_week age_group used_belt used_helmet used_child_restraint used_airbag vehicle_category_simplified impact_score "
+          "vehicle_category_simplified_other impact_score_other impact_delta road_complexity_index surface_quality_indicator role lighting_ordinal "
+          "weather_ordinal injury_target").split()
+
+
+def modelling_rows(spark, sf):
+    """Accident rows to model rows: columns left out, -1 unknown, complete, fixed domains."""
+    f = accidents.selected(_stages(spark, sf)["E_imputed"], keep=_KEEP)
+    out = modelling.prepared(f, keep=_KEEP)
+    return out.withColumn("road_complexity_index", F.round("road_complexity_index", 6))
+
+
+def _position(name, domain):
+    return f"CASE {name} " + " ".join(f"WHEN {v!r} THEN {i}" for i, v in enumerate(domain)) + " END"
+
+
+_FILLED = [f"coalesce(CAST({c} AS VARCHAR), '-1') AS {c}" if c.startswith("vehicle_category_s") else f"coalesce({c}, -1) AS {c}"
+           if c in codes.MINUS_ONE_HAS_MEANING else c for c in _MODEL]
+_WHOLE = " AND ".join(f"CAST({c} AS VARCHAR) NOT IN ('-1', '-1.0')" for c in _MODEL if c not in codes.MINUS_ONE_HAS_MEANING)
+SQL["modelling_rows"] = f"""SELECT * FROM (SELECT {', '.join(_KEEP)}, {', '.join(_FILLED)}, {', '.join(f'{_position(c, codes.ORDERED_DOMAINS[c])} AS {c}_code' for c in _CODED)}
+ FROM ({SQL['accident_table']}) t WHERE {_WHOLE}) WHERE {' AND '.join(f'{c}_code IS NOT NULL' for c in _CODED)}"""
+
+
+def derived_report(spark, sf):
+    """Model features of a report, by the definitions used in training."""
+    k = F.col("o_custkey")
+    reports = table(spark, sf, "orders").select("o_orderkey", (k % 24).alias("hour"), (k % 7).alias("day_of_week"), F.when(k % 9 > 0, k % 110).alias("age"))
+    out = scoring.derive(reports)
+    return out.select("o_orderkey", "time_of_day", "age_group", *[F.round(c, 6).alias(c) for c in ("hour_sin", "hour_cos", "day_of_week_sin", "day_of_week_cos")])
+
+
+SQL["derived_report"] = f"""WITH r AS (SELECT o_orderkey, o_custkey % 24 AS h, o_custkey % 7 AS w, CASE WHEN o_custkey % 9 > 0 THEN o_custkey % 110 END AS age FROM orders)
+SELECT o_orderkey, CASE WHEN h < 6 OR h >= 20 THEN 'Night' WHEN h < 10 THEN 'Morning_Rush' WHEN h < 16 THEN 'Midday' ELSE 'Evening_Rush' END AS time_of_day,
+ CASE WHEN age >= 0 AND age < 18 THEN 'child_teen' WHEN age >= 18 AND age < 25 THEN 'young_adult' WHEN age >= 25 AND age < 40 THEN 'adult'
+  WHEN age >= 40 AND age < 65 THEN 'middle_aged' WHEN age >= 65 AND age < 100 THEN 'senior' ELSE 'Unknown' END AS age_group,
+ {_wave('hour', '2*pi()*h/24')}, {_wave('day_of_week', '2*pi()*w/7')} FROM r"""
+
+QUERIES |= {"accident_merge": accident_merge, "accident_table": accident_table, "modelling_rows": modelling_rows, "derived_report": derived_report}

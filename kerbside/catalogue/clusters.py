@@ -117,7 +117,7 @@ def silhouette_squared(spark, sf):
 
 @query(_silhouette_sql("list_distance(a.v, b.v)"))
 def silhouette_euclidean(spark, sf):
-    out = silhouette.euclidean_silhouette(_third(spark, sf), "embedding", "l", ["vec_id"])
+    out = silhouette.euclidean_silhouette(_third(spark, sf), "embedding", "l")
     return out.select(r6("silhouette").alias("silhouette"), "clusters")
 
 

@@ -2,7 +2,7 @@
 
 Squared distances to a whole cluster follow from the cluster's count, sum and sum of
 squares, so that measure reads every row once.  Plain Euclidean distances have no such
-form; that measure is taken on a sample of fixed size, drawn by digest.
+form; that measure compares every row with every other, in blocks.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from kerbside.operators.ordered import hash_sample
+from kerbside.session import durable
 
 MAX_CLUSTER_CELLS = 4_000_000     # clusters x dimensions that tasks may hold
 
@@ -63,41 +63,48 @@ def squared_silhouette(df: DataFrame, vector: str, label: str) -> DataFrame:
     return _result(df, row["s"] if row["k"] > 1 else None, row["k"])
 
 
-def euclidean_silhouette(df: DataFrame, vector: str, label: str, keys: list[str],
-                         sample_size: int = 10_000, seed: int = 42,
-                         noise: int | None = -1) -> DataFrame:
-    """Mean silhouette with Euclidean distances on a sample of at most ``sample_size`` rows.
+def euclidean_silhouette(df: DataFrame, vector: str, label: str, noise: int | None = -1,
+                         block: int = 1024) -> DataFrame:
+    """Mean silhouette with Euclidean distances over every row given.
 
+    The cost is quadratic in the rows, as the measure is; who wants it on a sample draws one
+    (``ordered.hash_sample``).  Rows are cut into blocks; every block meets every other in a
+    group of its own, so a task holds two blocks, and gives sums per row and cluster.
     ``noise`` rows take no part (None keeps them as a cluster of their own).
     """
     rows = df.filter(F.col(label).isNotNull())
     rows = rows if noise is None else rows.filter(F.col(label) != noise)
-    sample = hash_sample(rows.select(*keys, vector, label), sample_size, keys, seed)
-    held = sample.select(vector, label).toPandas()
-    if held[label].nunique() < 2:
-        return _result(df, None, int(held[label].nunique()))
-    y = np.stack(held[vector].to_numpy()).astype(float)
-    codes, names = pd.factorize(held[label])
-    onehot = np.eye(len(names))[codes]
-    n = onehot.sum(0)
-    place = {v: i for i, v in enumerate(names)}
-
-    @F.pandas_udf(DoubleType())
-    def one(v: pd.Series, lab: pd.Series) -> pd.Series:
-        x = np.stack(v.to_numpy()).astype(float)
-        out = []
-        for start in range(0, len(x), 256):      # 256 x sample distances at a time
-            part = x[start:start + 256]
-            own = lab.iloc[start:start + 256].map(place).to_numpy()
-            d = np.stack([np.sqrt(((y - p) ** 2).sum(1)) for p in part])
-            total = d @ onehot
-            at = np.arange(len(part))
-            a = total[at, own] / np.maximum(n[own] - 1, 1)
-            mean = total / n
-            mean[at, own] = np.inf
-            b = mean.min(1)
-            out.append(np.where(n[own] > 1, (b - a) / np.maximum(np.maximum(a, b), 1e-300), 0.0))
-        return pd.Series(np.concatenate(out))
-    spread = sample.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
-    value = spread.agg(F.avg(one(F.col(vector), F.col(label))).alias("s")).first()["s"]
-    return _result(df, value, len(names))
+    rows = durable(rows.select(F.monotonically_increasing_id().alias("_id"), F.col(label).alias("_l"),
+                               F.col(vector).cast("array<double>").alias("_v")))
+    sizes = rows.groupBy("_l").agg(F.count(F.lit(1)).alias("_n"))
+    total = rows.count()
+    blocks = max(1, -(-total // block))
+    mine = rows.withColumn("_a", F.pmod(F.xxhash64("_id"), F.lit(blocks)))
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    asked = mine.withColumn("_b", every)
+    met = mine.withColumnRenamed("_a", "_b").withColumn("_a", every)
+
+    def sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return pd.DataFrame({"id": [], "own": [], "other": [], "s": []})
+        names, codes = np.unique(right["_l"].to_numpy(), return_inverse=True)
+        onehot = np.eye(len(names))[codes]
+        y = np.stack(right["_v"].to_numpy())
+        d = np.concatenate([np.sqrt(((y[None] - p[:, None]) ** 2).sum(2)) @ onehot
+                            for p in np.array_split(np.stack(left["_v"].to_numpy()), -(-len(left) // 16))])
+        return pd.DataFrame({"id": np.repeat(left["_id"].to_numpy(), len(names)), "own": np.repeat(left["_l"].to_numpy(), len(names)),
+                             "other": np.tile(names, len(left)), "s": d.ravel()})
+
+    kind = dict(rows.dtypes)["_l"]
+    pairs = asked.groupBy("_a", "_b").cogroup(met.groupBy("_a", "_b")).applyInPandas(
+        sums, f"id long, own {kind}, other {kind}, s double")
+    per = (pairs.groupBy("id", "own", "other").agg(F.sum("s").alias("s"))
+           .join(sizes, F.col("other") == F.col("_l")))
+    same = F.col("own") == F.col("other")
+    each = per.groupBy("id").agg(
+        F.max(F.when(same, F.col("s") / F.greatest(F.col("_n") - 1, F.lit(1)))).alias("a"),
+        F.max(F.when(same, F.col("_n"))).alias("n"), F.min(F.when(~same, F.col("s") / F.col("_n"))).alias("b"))
+    score = F.when(F.col("n") > 1, (F.col("b") - F.col("a")) / F.greatest("a", "b", F.lit(1e-300))).otherwise(0.0)
+    value = each.agg(F.avg(score).alias("s"), F.count("b").alias("k")).first()
+    clusters = sizes.count()
+    return _result(df, value["s"] if clusters > 1 else None, clusters)

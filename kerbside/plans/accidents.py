@@ -14,6 +14,7 @@ from kerbside.functions import columns as fc
 from kerbside.operators import clean, features, impute, joins, ordered
 from kerbside.sources import raw as raw_source
 from kerbside.sources import schemas
+from kerbside.session import durable
 
 SAFETY = ["safety_equipment_1", "safety_equipment_2", "safety_equipment_3"]
 
@@ -150,7 +151,7 @@ def build(raw: dict[str, DataFrame], scale_by: str | None = "year",
           bucket: Column | None = None) -> dict[str, DataFrame]:
     """All stages up to the selected columns, by name."""
     b = renamed(raw)
-    accidents = accident_rows(b)
+    accidents = durable(accident_rows(b))      # read twice: by the join and for the complexity range
     c = merged(b, accidents, bucket)
     d = engineered(c, accidents, scale_by)
     e = impute.impute_all(d)

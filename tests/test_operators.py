@@ -154,7 +154,7 @@ def test_dbscan_with_copies_and_chains(spark):
 def test_one_cluster_has_no_silhouette(spark):
     df = spark.createDataFrame([(i, [float(i), 1.0], 0) for i in range(5)], "id int, v array<double>, l int")
     assert silhouette.squared_silhouette(df, "v", "l").first()["silhouette"] is None
-    assert "1 cluster" in silhouette.euclidean_silhouette(df, "v", "l", ["id"]).first()["message"]
+    assert "1 cluster" in silhouette.euclidean_silhouette(df, "v", "l").first()["message"]
 
 
 # ---- models ----------------------------------------------------------------------------------
