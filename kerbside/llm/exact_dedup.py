@@ -126,7 +126,7 @@ def assign(docs: DataFrame, digest=sha256, max_files: int | None = None) -> Data
 def unique_documents(docs: DataFrame) -> DataFrame:
     """The row of each group that stays, with its columns."""
     columns = docs.columns
-    docs = located(docs)
-    dropped = stored(assign(docs.drop("_loc_file", "_loc_row") if "_loc_file" in columns else docs).where("not kept")
-                     .select("_loc_file", "_loc_row"), "copies")
-    return docs.join(dropped, ["_loc_file", "_loc_row"], "left_anti").select(*columns)
+    own = [f"c{i}" if c not in ("doc_id", "text") else c for i, c in enumerate(columns)]     # no name can clash
+    docs = located(docs.toDF(*own))
+    dropped = stored(assign(docs).where("not kept").select("_loc_file", "_loc_row"), "copies")
+    return docs.join(dropped, ["_loc_file", "_loc_row"], "left_anti").select(*own).toDF(*columns)

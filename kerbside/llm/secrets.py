@@ -4,14 +4,14 @@ Base spans follow three shapes (assignments, access keys, long hex runs). The ba
 every other run of key-like signs that no plain word explains. Its encoding is inferred (decimal,
 hex, base32, base64, letters and digits), each sign becomes its place in that alphabet, and three
 tests ask whether the places look drawn evenly: a chi-squared test of uniformity over slices of
-the alphabet, a runs test around the middle, and a serial-correlation test of neighbours. The
-smallest of the three p-values, corrected for taking it, says how far a token is from random.
+the alphabet, a runs test around the middle, and a serial-correlation test of neighbours; a
+fourth counts repeated signs. Their p-values, combined by Fisher's sum, say how random it looks.
 
 Plain text looks random now and then, and more often the shorter it is. So the null is measured,
 not assumed: the corpus's plain words of the same lengths go through the same battery. A token's
-discovery p-value is the share of plain words, of its length class or a shorter one, that look at
-least as random. Benjamini-Hochberg over all tokens of a length class picks the tokens to report.
-Both tables are counts per (length class, score bin), of bounded size.
+discovery p-value is the share of plain words, of its length class or a shorter one and read in
+its alphabet, that look at least as random. Benjamini-Hochberg over all tokens of a class of
+length and encoding picks the tokens to report. Both tables are counts per (class, score bin).
 
 A null text counts as empty and has no span; repeated rows are scanned alike; very long texts are
 read whole; an empty table gives no rows; extra columns are ignored.
@@ -40,6 +40,7 @@ SHORTEST = 16
 TOKENS = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % SHORTEST)
 BINS = 100          # of the randomness score
 CLASSES = (16, 20, 24, 32, 48, 64, 1 << 62)     # lower bounds of the length classes
+LENGTHS = len(CLASSES) - 1
 RATE = 0.01         # share of false discoveries allowed among the reported tokens
 # alphabets in their natural order (fixed values)
 DIGITS, LOW = "0123456789", "abcdefghijklmnopqrstuvwxyz"
@@ -75,9 +76,9 @@ def _chi2_tail(x: float, k: int) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
-def randomness(token: str) -> float:
-    """Corrected smallest p-value of the battery: near 0 for ordered tokens, larger for random ones."""
-    name = encoding(token)
+def randomness(token: str, name: str | None = None) -> float:
+    """The battery's p-values combined by Fisher's sum: near 0 for ordered tokens, larger for random ones."""
+    name = name or encoding(token)
     alphabet = ALPHABETS[name]
     body = token.rstrip("=")
     if name in ("hex", "alnum") and not set(body) <= set(alphabet):
@@ -105,7 +106,8 @@ def randomness(token: str) -> float:
     same = n - len(set(body))
     expected = n - size * (1 - (1 - 1 / size) ** n)
     p4 = 0.5 * math.erfc((same - expected) / math.sqrt(2 * max(1.0, expected)))
-    return 1 - (1 - min(p1, p2, p3, p4)) ** 4
+    s = -sum(math.log(max(p, 1e-12)) for p in (p1, p2, p3, p4))
+    return math.exp(-s) * (1 + s + s * s / 2 + s ** 3 / 6)      # chi-squared tail of Fisher's sum
 
 
 def length_class(n: int) -> int:
@@ -118,9 +120,9 @@ def _bin(score: float) -> int:
 
 
 @lru_cache(50_000)
-def looks(token: str) -> tuple[int, int]:
-    """(length class, bin of the score)."""
-    return length_class(len(token)), _bin(randomness(token))
+def looks(token: str, name: str) -> tuple[int, int]:
+    """(class of encoding and length, bin of the score)."""
+    return length_class(len(token)) + LENGTHS * (name == "base64"), _bin(randomness(token, name))
 
 
 def plain(token: str) -> bool:
@@ -140,7 +142,7 @@ def scan(docs: DataFrame) -> DataFrame:
     ``plain`` counts the row's plain words: together they are the null of the whole corpus.
     """
     span = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
-    token = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("class", pa.int32()), ("bin", pa.int32())])
+    run_ = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("class", pa.int32()), ("bin", pa.int32())])
     cell = pa.struct([("class", pa.int32()), ("bin", pa.int32()), ("n", pa.int64())])
 
     def run(batches):
@@ -152,15 +154,18 @@ def scan(docs: DataFrame) -> DataFrame:
                 base.append([{"start": s, "kind": k, "end": e} for s, k, e in spans])
                 tokens, words = [], Counter()
                 for s, e, word in candidates(text, spans):
-                    c, b = looks(text[s:e])
+                    token = text[s:e]
                     if word:
-                        words[c, b] += 1
+                        # a plain word is natural text in its own alphabet and in the widest one
+                        words[looks(token, encoding(token))] += 1
+                        words[looks(token, "base64")] += 1
                     else:
+                        c, b = looks(token, encoding(token))
                         tokens.append({"start": s, "end": e, "class": c, "bin": b})
                 found.append(tokens)
                 null.append([{"class": c, "bin": b, "n": n} for (c, b), n in words.items()])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(base, pa.list_(span)), pa.array(found, pa.list_(token)),
+                [batch.column(0), pa.array(base, pa.list_(span)), pa.array(found, pa.list_(run_)),
                  pa.array(null, pa.list_(cell))], names=["doc_id", "base", "found", "plain"])
 
     return docs.select("doc_id", "text").mapInArrow(
@@ -170,15 +175,19 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def cut_points(tokens: dict[tuple[int, int], int], plain: dict[tuple[int, int], int], rate: float = RATE) -> list[int]:
-    """Per length class the lowest bin reported (BINS if none), Benjamini-Hochberg over its tokens."""
+    """Per class the lowest bin reported (BINS if none), Benjamini-Hochberg over its tokens.
+
+    Classes are the lengths of the narrow encodings, then those of base64.
+    """
     out = []
-    for c in range(len(CLASSES) - 1):
-        n_plain = sum(n for (k, _), n in plain.items() if k <= c)
+    for c in range(2 * LENGTHS):
+        shorter = range(c - c % LENGTHS, c + 1)
+        n_plain = sum(n for (k, _), n in plain.items() if k in shorter)
         n_tokens = sum(n for (k, _), n in tokens.items() if k == c)
         best, above, null = BINS, 0, 0
         for b in range(BINS - 1, -1, -1):
             above += tokens.get((c, b), 0)
-            null += sum(plain.get((k, b), 0) for k in range(c + 1))
+            null += sum(plain.get((k, b), 0) for k in shorter)
             p = (null + 1) / (n_plain + 1)
             if above and p <= rate * above / n_tokens:
                 best = b

@@ -155,7 +155,7 @@ def test_discovery_control():
     plain = {(0, b): 100 for b in range(50)}
     assert secrets.cut_points({(0, 10): 500}, plain)[0] == secrets.BINS
     assert secrets.cut_points({(0, 90): 50, (0, 10): 500}, plain)[0] <= 90
-    assert secrets.cut_points({}, {}) == [secrets.BINS] * (len(secrets.CLASSES) - 1)
+    assert secrets.cut_points({}, {}) == [secrets.BINS] * (2 * secrets.LENGTHS)
 
 
 def test_factorisation_identity():
