@@ -6,12 +6,14 @@ import numpy as np
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from kerbside.catalogue import accident, clusters
 from kerbside.catalogue.tables import r6, table
-from kerbside.clustering import gower, kprototypes, sweep
+from kerbside.clustering import gower, kprototypes, profile, sweep
 from kerbside.functions import columns as fc
 from kerbside.ml import famd, isolation, models, prepare, search
-from kerbside.operators import impute, ordered, stats
+from kerbside.operators import clean, impute, ordered, stats
 from kerbside.operators import profile as columns_profile
+from kerbside.sources import raw, schemas
 
 QUERIES, SQL = {}, {}
 CLASSES = [0, 1, 2]
@@ -267,3 +269,33 @@ def anova_p_value(spark, sf):
     """Three groups: with two degrees of freedom the tail is a power."""
     out = stats.anova(table(spark, sf, "lineitem"), ["l_tax", "l_quantity"], "l_returnflag")
     return out.select("column", r6("p_value").alias("p_value"), "significant")
+
+
+# ---- lists of the cluster profile; text lines to typed rows ----------------------------------
+@query(f"""WITH {clusters._CL}, {clusters._LIFT}, nz AS ({clusters._NUMZ}) SELECT cluster, col AS "column", value, round(lift, 2) AS a, round(support * 100, 1) AS b FROM lift
+UNION ALL SELECT cluster, col, NULL, round(mean, 2), round(z, 2) FROM nz WHERE abs(z) >= 0.5""")
+def cluster_profile_lists(spark, sf):
+    df = clusters._clustered(spark, sf)
+    out = profile.joined_profile(profile.over_represented(df, "cluster", clusters._CATS),
+                                 profile.numeric_profile(df, "cluster", ["l_quantity", "l_extendedprice"], min_abs_z=0.5), "cluster")
+    values = out.select("cluster", F.explode("categories").alias("x")).select(
+        "cluster", "x.column", "x.value", F.col("x.lift").alias("a"), F.col("x.support_pct").alias("b"))
+    numbers = out.select("cluster", F.explode("numbers").alias("x")).select(
+        "cluster", "x.column", F.lit(None).cast("string").alias("value"), F.col("x.mean").alias("a"), F.col("x.z_mean").alias("b"))
+    return values.unionByName(numbers)
+
+
+_VEHICLE = {"id_accident": "Num_Acc", "id_vehicle": "id_vehicule", "number_vehicle": "num_veh", "direction_of_travel": "senc", "vehicle_category": "catv",
+            "fixed_obstacle_struck": "obs", "mobile_obstacle_struck": "obsm", "initial_point_of_impact": "choc", "main_maneuver_before_accident": "manv",
+            "motor_type": "motor"}
+
+
+@query("SELECT " + ", ".join(f"CAST(replace({accident._VEH[c]}, ' ', '') AS BIGINT) AS {n}" if n == "id_vehicle" else f"{accident._VEH[c]} AS {n}"
+                             for n, c in _VEHICLE.items()) + " FROM lineitem")
+def typed_text_lines(spark, sf):
+    """Lines of a raw file, as written with ``;``, read with their declared schema and typed."""
+    v = accident.raw_tables(spark, sf)["vehicles"].drop("_src_pos")
+    line = v.select(F.to_csv(F.struct(*v.columns), {"sep": ";"}).alias("line"))
+    schema = ", ".join(f"`{c}` string" for c in v.columns)
+    back = line.select(F.from_csv("line", schema, {"sep": ";"}).alias("r")).select("r.*")
+    return raw.typed(clean.rename(back, schemas.RENAMES["vehicles"])).select(*_VEHICLE)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from kerbside.functions import columns as fc
 from kerbside.session import match_null_safe, pin_small
 
-HASH_DIGITS = 3   # 4096 ranges per group
+RANGE_ROWS = 20_000     # rows of one group that a digest range should hold at most
 
 
 # ---- the shared helper ------------------------------------------------------------
@@ -45,7 +45,15 @@ def numbered(df: DataFrame, by: list[str], order: list[Column], bucket: Column,
             .drop("_bucket", "n_before"))
 
 
-def hash_bucket(key: str, digits: int = HASH_DIGITS) -> Column:
+def hash_digits(rows: int) -> int:
+    """Hex digits that cut ``rows`` into ranges of RANGE_ROWS or fewer; three at least."""
+    digits = 3
+    while rows > RANGE_ROWS * 16 ** digits:
+        digits += 1
+    return digits
+
+
+def hash_bucket(key: str, digits: int = 3) -> Column:
     return F.substring(F.col(key), 1, digits)
 
 
@@ -101,12 +109,14 @@ def hash_sample(df: DataFrame, n: int, keys: list[str], seed=42) -> DataFrame:
 
 
 def first_by_hash(df: DataFrame, by: str, keys: list[str], need: DataFrame, seed=42,
-                  digits: int = HASH_DIGITS) -> DataFrame:
+                  digits: int | None = None) -> DataFrame:
     """Per group the ``need`` rows with the smallest digests, exactly.
 
     ``need`` has one row per group: (by, need).  Only the one digest range per group in
-    which the cut falls is ranked; all other rows are kept or left by comparison.
+    which the cut falls is ranked; all other rows are kept or left by comparison.  Ranges
+    are as many as the rows ask for (``digits`` None: rows are counted).
     """
+    digits = hash_digits(df.count()) if digits is None else digits
     tagged = df.withColumn("_h", fc.shuffle_key(keys, seed)).withColumn(
         "_bucket", hash_bucket("_h", digits))
     per = tagged.groupBy(by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
@@ -144,7 +154,7 @@ def stratified_folds(df: DataFrame, target: str, keys: list[str], k: int = 3, se
     """
     tagged = df.withColumn("_h", fc.shuffle_key(keys, seed))
     out = numbered(tagged, [target], [F.col("_h"), *[F.col(c) for c in keys]],
-                   hash_bucket("_h"), "_rn")
+                   hash_bucket("_h", hash_digits(df.count())), "_rn")
     return out.withColumn(name, ((F.col("_rn") - 1) % k).cast("int")).drop("_rn", "_h")
 
 
@@ -153,7 +163,7 @@ def random_draw_impute(df: DataFrame, column: str, keys: list[str], seed=42) ->
     tagged = df.withColumn("_h", fc.shuffle_key(keys, seed))
     observed = tagged.filter(F.col(column).isNotNull()).withColumn("_g", F.lit(1))
     pool = numbered(observed.select("_g", "_h", *keys, F.col(column).alias("_drawn")), ["_g"],
-                    [F.col("_h"), *[F.col(c) for c in keys]], hash_bucket("_h"), "_pos")
+                    [F.col("_h"), *[F.col(c) for c in keys]], hash_bucket("_h", hash_digits(df.count())), "_pos")
     pool = pool.select("_pos", "_drawn")
     n = observed.agg(F.count(F.lit(1)).alias("n")).scalar()
     missing = tagged.filter(F.col(column).isNull()).withColumn(
@@ -185,7 +195,7 @@ def with_value_bucket(df: DataFrame, by: list[str], value: str, bits: int | None
     result never depends on where the approximate split points fall.
     """
     bits = split_bits(df) if bits is None else bits
-    splits = pin_small(value_splits(df, by, value, bits))
+    splits = pin_small(value_splits(df, by, value, bits), row_bytes=8 * 2 ** bits + 64)
     out = match_null_safe(df, splits, by).withColumn("_bucket", F.lit(0))
     for bit in reversed(range(bits)):
         step = 2 ** bit

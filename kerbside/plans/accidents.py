@@ -148,12 +148,17 @@ def clustered(f: DataFrame, k: int = 3, restarts: int = 5, by: str | None = "yea
 
 
 def build(raw: dict[str, DataFrame], scale_by: str | None = "year",
-          bucket: Column | None = None) -> dict[str, DataFrame]:
-    """All stages up to the selected columns, by name."""
+          bucket: Column | None = None, once: bool = False) -> dict[str, DataFrame]:
+    """All stages up to the selected columns, by name.
+
+    ``once`` keeps each stage in the shared folder as it is made: right before writing all
+    of them, as later stages and writers then read it instead of computing it again.
+    """
+    made = durable if once else lambda df: df
     b = renamed(raw)
     accidents = durable(accident_rows(b))      # read twice: by the join and for the complexity range
-    c = merged(b, accidents, bucket)
-    d = engineered(c, accidents, scale_by)
-    e = impute.impute_all(d)
+    c = made(merged(b, accidents, bucket))
+    d = made(engineered(c, accidents, scale_by))
+    e = made(impute.impute_all(d))
     return {**{f"B_{n}": df for n, df in b.items()}, "C_merged": c, "D_features": d,
             "E_imputed": e, "F_selected": selected(e)}

@@ -7,8 +7,8 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Upper bound on the rows of a table that may be held by every executor.
-SMALL_ROWS = 50_000
+# Upper bound on the bytes of a table that may be held by every executor.
+SMALL_BYTES = 16 << 20
 
 
 def build_session(app_name: str = "kerbside", master: str | None = None,
@@ -54,12 +54,20 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(wanted, *keys) if df.rdd.getNumPartitions() < wanted else df
 
 
-def pin_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+def row_width(df: DataFrame) -> int:
+    """Rough bytes of a row by its types: 8 for a fixed width, 64 for text, 512 for anything nested."""
+    kinds = [k for _, k in df.dtypes]
+    return sum(64 if k in ("string", "binary") else 512 if "<" in k else 8 for k in kinds) + 8
+
+
+def pin_small(df: DataFrame, row_bytes: int | None = None, max_bytes: int = SMALL_BYTES) -> DataFrame:
     """Replace a small aggregate by its rows, marked for broadcast.
 
-    The size is checked first: a larger table comes back unchanged, so that the
-    join falls to a shuffle (with adaptive skew handling) instead of a broadcast.
+    Rows times width are checked first (``row_bytes`` where the types don't tell the
+    width): a larger table comes back unchanged, so that the join falls to a shuffle
+    (with adaptive skew handling) instead of a broadcast.
     """
+    max_rows = max(1, max_bytes // (row_bytes or row_width(df)))
     rows = df.limit(max_rows + 1).toArrow()
     if rows.num_rows > max_rows:
         return df

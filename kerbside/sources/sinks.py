@@ -8,6 +8,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kerbside.session import durable
+
 
 def write_stage(df: DataFrame, path: str, fmt: str = "parquet", by: str = "year") -> None:
     """One folder per year; CSV uses ``;`` and a header."""
@@ -27,8 +29,8 @@ def write_stages(stages: dict[str, DataFrame], folder: str, fmt: str = "csv") ->
 
 
 def write_sets(train: DataFrame, test: DataFrame, folder: str) -> None:
-    """Train and test set as Parquet, CSV and compressed CSV."""
-    for name, df in (("train_val_data", train), ("test_data", test)):
+    """Train and test set as Parquet, CSV and compressed CSV; each set is computed once."""
+    for name, df in (("train_val_data", durable(train)), ("test_data", durable(test))):
         df.write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
         writer = df.write.mode("overwrite").option("sep", ";").option("header", True)
         writer.csv(f"{folder}/{name}.csv")
