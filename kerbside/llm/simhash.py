@@ -168,6 +168,11 @@ def groups(docs: DataFrame, words: int = 5, bits: int = 3) -> DataFrame:
 
 
 def one_per_group(docs: DataFrame, words: int = 5, bits: int = 3) -> DataFrame:
-    """The document of each group with the smallest id, with its columns."""
-    dropped = stored(groups(docs, words, bits).where("doc_id <> component_id").select("doc_id"), "near-copies")
-    return docs.join(dropped.withColumnRenamed("doc_id", "_dropped"), F.col("doc_id") == F.col("_dropped"), "left_anti")
+    """The document of each group with the smallest id, with its columns.
+
+    Rows are told by their id: an id stays with all its rows if it names the group of any.
+    """
+    stays = F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    dropped = stored(groups(docs, words, bits).where("doc_id is not null").groupBy(F.col("doc_id").alias("_dropped"))
+                     .agg(stays.alias("_stays")).where("not _stays").select("_dropped"), "near-copies")
+    return docs.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti")
