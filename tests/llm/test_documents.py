@@ -109,6 +109,16 @@ def test_simhash(spark, words, bits):
         [(i, f, wanted[f]) for i, f in prints], key=str)
 
 
+def test_one_per_group(spark):
+    rows = [(1, "a b c d e f g h"), (2, "a b c d e f g h"), (2, "z y x w v u t s"), (3, "z y x w v u t s"), (4, None), (None, "")]
+    docs = rows_of(spark, rows, clash=True)
+    left = simhash.one_per_group(docs, 4, 4)
+    assert left.columns == docs.columns
+    # 2 names the group of its second text, so it stays
+    assert sorted(r.doc_id for r in left.collect() if r.doc_id) == [1, 2, 2, 4]
+    assert simhash.one_per_group(docs.limit(0), 4, 4).count() == 0
+
+
 def test_simhash_dense_segments(spark, monkeypatch):
     """Near fingerprints by the hundred under one segment value: blocks connect what pairs would."""
     monkeypatch.setattr(simhash, "HOT", 8)
@@ -173,15 +183,19 @@ def test_decontamination(spark):
 
 def test_template_and_codes_agree():
     rng = random.Random(5)
-    signs = list("aB é\x02ÀßΣ 1.,:\n") + ["Anna ", "kg ", "12 ", "two ", " Tom"]
-    codes = decontaminate.Codes()
-    for _ in range(500):
-        text = "".join(rng.choice(signs) for _ in range(60))
-        tokens, _ = decontaminate.template(text.replace("\x02", " "))
-        a = np.array(codes.of(text), np.int64)
-        for n in (1, 3):
-            slow = decontaminate._hashes(np.array([decontaminate._code(t) for t in tokens], np.int64), n)
-            assert decontaminate._hashes(a, n).tolist() == slow.tolist()
+    signs = list("aB é\x02ÀßΣ中 1.,:/\n") + ["Anna ", "kg ", "12 ", "two ", " Tom", "İ", "3,4:5"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 60))) for _ in range(2000)]
+    texts += ["".join(c for c in t if c.isascii() or c in "éÀß") for t in texts]
+    for some in (texts[:7], texts[7:2500], texts[2500:], texts[:1], ["", ""]):
+        codes, ends = decontaminate.coded(some)
+        start = 0
+        for text, end in zip(some, ends):
+            tokens, _ = decontaminate.template(text.replace("\x02", " "))
+            want = np.array([decontaminate._code(t) for t in tokens], np.int64)
+            assert end - start == len(want)
+            for n in (1, 3):
+                assert decontaminate._hashes(codes[start:end], n).tolist() == decontaminate._hashes(want, n).tolist(), text
+            start = end
 
 
 def test_word_encoder_is_the_tokenizer():
