@@ -17,6 +17,7 @@ columns are ignored (or kept, by ``clean_documents``). Texts are read whole.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,7 @@ from kerbside.llm.common import slices, stored
 WINDOW = 8
 SHARE = 0.5         # of an item's windows
 RUN = 6             # windows, thirteen words in a row
+CHUNK = 500_000     # signs of the texts coded at a time
 LITERALS = 4        # words a window must have besides placeholders
 BITMAP_BITS = 24    # 2 MB, whatever the benchmark's size
 TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+|\x02")
@@ -64,42 +66,99 @@ def template(text: str) -> tuple[list[str], list[str]]:
     return out, original
 
 
-class Codes(dict):
-    """64-bit code of each token as it stands in a text; units are told by what stands before them."""
+# texts of these signs only are cut and coded as bytes: every sign beyond ASCII among them is a letter
+PLAIN = re.compile("[\\x00-\\x7fÀ-ÖØ-öø-įĲ-ſ]*")
+BASE, WHOLE = 0x9E3779B97F4A7C15, (1 << 64) - 1
+BACK = pow(BASE, -1, 1 << 64)
+MIX = np.uint64(BASE)
+LETTER, DIGIT, MARK = 1, 2, 3
+KINDS = np.zeros(256, np.uint8)
+KINDS[list(b"abcdefghijklmnopqrstuvwxyz")] = LETTER
+KINDS[128:] = LETTER
+KINDS[list(b"0123456789")] = DIGIT
+KINDS[2] = MARK
+JOINS = np.zeros(256, bool)
+JOINS[list(b".,:/")] = True
 
-    LIMIT = 200_000
 
-    def __missing__(self, token: str) -> int:
-        if len(self) > self.LIMIT:
-            self.clear()
-        w = token.lower()
-        w = NAME if w == "\x02" else NUM if w[0].isdigit() or w in NUMBERS else w
-        self[token] = code = _code(w)
-        return code
+def _code(token: str) -> int:
+    """Signed 64-bit code of a template token: its bytes as digits to the base BASE, mixed."""
+    h = 0
+    for b in reversed(token.encode("utf-8", "surrogatepass")):
+        h = (h * BASE + b) & WHOLE
+    h = (h ^ len(token.encode("utf-8", "surrogatepass"))) * BASE & WHOLE
+    h ^= h >> 29
+    return h - (1 << 64) if h >> 63 else h
 
-    def of(self, text: str) -> list[int]:
-        if "\x02" in text:
-            text = text.replace("\x02", " ")
-        if NAME_AT.search(text):
-            text = NAME_AT.sub("\x02", text)
-        return [self[t] for t in TOKEN.findall(text)]
 
+UNIT_CODES, NUMBER_CODES = [np.array(sorted(_code(u) for u in words), np.int64) for words in (UNITS, NUMBERS)]
+NUM_CODE, NAME_CODE, UNIT_CODE = _code(NUM), _code(NAME), _code(UNIT)
 
-def _code(token: str) -> int:
-    h = xxhash.xxh64_intdigest(token)
-    return h - (1 << 64) if h >> 63 else h
+
+def marked(text: str) -> str:
+    """``text`` with one sign in place of each name."""
+    if "\x02" in text:
+        text = text.replace("\x02", " ")
+    return NAME_AT.sub("\x02", text) if NAME_AT.search(text) else text
 
 
-UNIT_CODES = np.array(sorted(_code(u) for u in UNITS), np.int64)
-MIX = np.uint64(0x9E3779B97F4A7C15)
+@lru_cache(2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """BASE to the powers 0 to n - 1, and of its inverse."""
+    up, down = np.full(n, BASE, np.uint64), np.full(n, BACK, np.uint64)
+    up[:1] = down[:1] = 1
+    return np.cumprod(up), np.cumprod(down)
+
+
+def coded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(codes of the tokens of all texts, where each text's end); units are not told from words yet."""
+    codes, counts = [], np.zeros(len(texts), np.int64)
+    lines, place = [], []
+    order = np.zeros(0, np.int64)
+    for k, text in enumerate(texts):
+        text = marked(text)
+        if PLAIN.fullmatch(text):
+            lines.append(text.lower().encode())
+            place.append(k)
+        else:
+            own = [NAME_CODE if t == "\x02" else NUM_CODE if t[0].isdigit() or t in NUMBERS else _code(t)
+                   for t in (m.lower() for m in TOKEN.findall(text))]
+            codes.append(np.array(own, np.int64))
+            counts[k] = len(own)
+            order = np.concatenate([order, np.full(len(own), k)])
+    if lines:
+        raw = np.frombuffer(b"\n".join(lines), np.uint8)
+        kind = KINDS[raw]
+        if len(raw) > 2:      # a sign between two digits belongs to the number
+            inner = JOINS[raw[1:-1]] & (kind[:-2] == DIGIT) & (kind[2:] == DIGIT)
+            kind[1:-1][inner] = DIGIT
+        change = np.concatenate([[True], (kind[1:] != kind[:-1]) | (kind[1:] == MARK), [True]])
+        start = np.flatnonzero(change[:-1] & (kind != 0))
+        end = np.flatnonzero(change[1:] & (kind != 0)) + 1
+        n = 1 << max(16, int(len(raw) - 1).bit_length())
+        up, down = _powers(n)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(raw * up[:len(raw)], dtype=np.uint64)])
+        h = ((sums[end] - sums[start]) * down[start] ^ (end - start).astype(np.uint64)) * MIX
+        h = (h ^ h >> np.uint64(29)).view(np.int64)
+        h[(kind[start] == DIGIT) | np.isin(h, NUMBER_CODES)] = NUM_CODE
+        h[kind[start] == MARK] = NAME_CODE
+        edges = np.cumsum([len(x) + 1 for x in lines])
+        of = np.searchsorted(edges, start, side="right")
+        counts[place] = np.bincount(of, minlength=len(lines))
+        codes.append(h)
+        order = np.concatenate([order, np.array(place)[of]])
+    flat = np.concatenate(codes) if codes else np.zeros(0, np.int64)
+    if len(lines) not in (0, len(texts)):
+        flat = flat[np.argsort(order, kind="stable")]
+    return flat, np.cumsum(counts)
 
 
 def _hashes(codes: np.ndarray, window: int) -> np.ndarray:
     """A 64-bit hash of every window of ``window`` codes."""
-    after = np.flatnonzero(codes[:-1] == _code(NUM)) + 1
+    after = np.flatnonzero(codes[:-1] == NUM_CODE) + 1
     if len(after):
         codes = codes.copy()
-        codes[after[np.isin(codes[after], UNIT_CODES)]] = _code(UNIT)
+        codes[after[np.isin(codes[after], UNIT_CODES)]] = UNIT_CODE
     a = codes.view(np.uint64)
     n = max(0, len(a) - window + 1)
     out = np.zeros(n, np.uint64)
@@ -151,13 +210,11 @@ def possible_hits(docs: DataFrame, bitmap: bytes, window: int, short: list[int])
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches):
-        codes, bits = Codes(), np.frombuffer(shared.value, np.uint32)
-        low = np.int64((1 << BITMAP_BITS) - 1)
+        bits, low = np.frombuffer(shared.value, np.uint32), np.int64((1 << BITMAP_BITS) - 1)
 
-        def search(texts, parts):
-            """(text number, place, hash, tokens) of possible hits in some texts put end to end."""
-            ends = np.cumsum([len(p) for p in parts])
-            a = np.fromiter((c for p in parts for c in p), np.int64, int(ends[-1]))
+        def search(texts):
+            """(text number, place, hash, length) of possible hits in some texts put end to end."""
+            a, ends = coded(texts)
             starts = np.concatenate([[0], ends[:-1]])
             for n in [window, *short]:
                 h = _hashes(a, n) if len(a) >= n else np.zeros(0, np.int64)
@@ -169,23 +226,21 @@ def possible_hits(docs: DataFrame, bitmap: bytes, window: int, short: list[int])
                     yield d, i, x, n
 
         for batch in slices(batches):
-            rows, docs_, texts, parts, held = [], batch.column(0).to_pylist(), batch.column(1).to_pylist(), [], 0
-            first = 0
-            for k in range(len(texts) + 1):
-                if k == len(texts) or held >= 300_000:
-                    if held:
-                        made = {}
-                        for d, i, x, n in search(texts, parts):
-                            text = texts[first + d].replace("\x02", " ")
-                            if d not in made:
-                                row = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1
-                                made = {d: (row, *template(text))}     # hits come by text; one at a time is kept
-                            row, tokens, original = made[d]
-                            rows.append((docs_[first + d], row, i, x, tokens[i:i + n], original[i:i + n]))
-                    parts, held, first = [], 0, k
-                if k < len(texts):
-                    parts.append(codes.of(texts[k] or ""))
-                    held += len(parts[-1])
+            rows, ids, texts = [], batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            first = held = 0
+            for k in range(len(texts)):
+                held += len(texts[k] or "")
+                if held < CHUNK and k < len(texts) - 1:
+                    continue
+                made = {}
+                for d, i, x, n in search([t or "" for t in texts[first:k + 1]]):
+                    if d not in made:
+                        text = texts[first + d].replace("\x02", " ")
+                        row = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1
+                        made = {d: (row, *template(text))}     # hits come by text; one at a time is kept
+                    row, tokens, original = made[d]
+                    rows.append((ids[first + d], row, i, x, tokens[i:i + n], original[i:i + n]))
+                first, held = k + 1, 0
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6,
                  (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string())))],
