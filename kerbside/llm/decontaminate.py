@@ -2,7 +2,8 @@
 
 Numbers, names and units become typed placeholders, so a question with other parameters has the
 same template. Windows of ``window`` template tokens of the benchmark are hash-joined with those
-of the documents. A document's windows are looked up in a bitmap of fixed size first (built from
+of the documents. A window of placeholders alone says nothing by its template: it is met word for
+word, or by its template at its distance from the nearest window with a word. A document's windows are looked up in a bitmap of fixed size first (built from
 the benchmark's hashes), so that only possible hits are shuffled; the join compares hashes and the
 window's literal words decide. Matches on one alignment (document position minus item position)
 are put together; the slots they fill must be consistent: the same benchmark value is always
@@ -31,7 +32,6 @@ WINDOW = 8
 SHARE = 0.5         # of an item's windows
 RUN = 6             # windows, thirteen words in a row
 CHUNK = 500_000     # signs of the texts coded at a time
-LITERALS = 4        # words a window must have besides placeholders
 BITMAP_BITS = 24    # 2 MB, whatever the benchmark's size
 TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+|\x02")
 CAPITAL = "A-ZÀ-ÖØ-Þ"
@@ -168,8 +168,43 @@ def _hashes(codes: np.ndarray, window: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _bare(tokens: list[str]) -> bool:
+    return all(t[0] == "\x01" for t in tokens)
+
+
+def _beside(tokens: list[str], i: int, n: int, reach: tuple[int, int]):
+    """Distances from the window at ``i`` to those of placeholders alone that it borders on, at most ``reach`` back and on."""
+    back, on = reach
+    if not _bare(tokens[i:i + 1]) and _bare(tokens[i + 1:i + n]):
+        for k in range(1, min(on, len(tokens) - n - i) + 1):
+            if not _bare(tokens[i + k + n - 1:i + k + n]):
+                break
+            yield k
+    if not _bare(tokens[i + n - 1:i + n]) and _bare(tokens[i:i + n - 1]):
+        for k in range(1, min(back, i) + 1):
+            if not _bare(tokens[i - k:i - k + 1]):
+                break
+            yield -k
+
+
+def _anchored(h: int, k: int) -> int:
+    """Hash of the window of placeholders ``k`` places from a window of hash ``h``."""
+    x = ((h ^ k) & WHOLE) * BASE & WHOLE
+    x ^= x >> 29
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _own(original: list[str], n: int) -> list[int]:
+    """Hashes of the windows of the original tokens."""
+    return _hashes(np.array([_code(t) for t in original], np.int64), n).tolist()
+
+
 def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item_id, pos, hash, tokens, slots, windows) per window of each item; windows: how many the item has."""
+    """(item_id, pos, hash, look, far, bare, tokens, slots, windows) of each item; windows: how many the item has.
+
+    look: hash of the template; hash differs for windows of placeholders alone: they have a row with
+    the hash of their original tokens (bare) and one per neighbour at a distance ``far``.
+    """
     def run(batches):
         for batch in batches:
             rows = []
@@ -180,38 +215,47 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
                 n = min(window, len(tokens))
                 hashes = _hashes(np.array([_code(t) for t in tokens], np.int64), n).tolist()
                 for i, h in enumerate(hashes):
-                    part = tokens[i:i + n]
-                    if sum(t[0] != "\x01" for t in part) >= min(LITERALS, len(tokens)):
-                        rows.append((item, i, h, part, original[i:i + n], len(hashes)))
+                    bare = _bare(tokens[i:i + n])
+                    own = _own(original[i:i + n], n)[0] if bare else h
+                    made = [(i, own, 0, bare)] + [(i + k, _anchored(h, k), k, False)
+                                                  for k in _beside(tokens, i, n, (len(tokens), len(tokens)))]
+                    rows += [(item, j, x, hashes[j], k, b, tokens[j:j + n], original[j:j + n], len(hashes))
+                             for j, x, k, b in made]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6,
-                 (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.int32()))],
-                names=["item_id", "pos", "hash", "tokens", "slots", "windows"])
+                [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 9,
+                 (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.string()),
+                  pa.list_(pa.string()), pa.int32()))],
+                names=["item_id", "pos", "hash", "look", "far", "bare", "tokens", "slots", "windows"])
     return items.select("item_id", "text").mapInArrow(
-        run, "item_id long, pos int, hash long, tokens array<string>, slots array<string>, windows int")
+        run, "item_id long, pos int, hash long, look long, far int, bare boolean, tokens array<string>, "
+             "slots array<string>, windows int")
 
 
 def _bitmap(windows: DataFrame) -> bytes:
     """2**BITMAP_BITS bits, set at the low bits of the benchmark's hashes; made of words summed up in Spark."""
     bit = F.col("hash").bitwiseAND((1 << BITMAP_BITS) - 1)
-    words = (windows.select(F.shiftright(bit, 5).alias("w"), F.expr(f"shiftleft(1L, cast(hash & 31 as int))").alias("m"))
+    hashes = windows.select(F.explode(F.array("hash", "look")).alias("hash"))
+    words = (hashes.select(F.shiftright(bit, 5).alias("w"), F.expr(f"shiftleft(1L, cast(hash & 31 as int))").alias("m"))
              .groupBy("w").agg(F.bit_or("m").alias("m")).toArrow())      # at most 2**19 rows of 12 bytes
     out = np.zeros(1 << BITMAP_BITS - 5, np.uint32)
     out[words.column("w").to_numpy()] = words.column("m").to_numpy().astype(np.uint32)
     return out.tobytes()
 
 
-def possible_hits(docs: DataFrame, bitmap: bytes, window: int, short: list[int]) -> DataFrame:
+def possible_hits(docs: DataFrame, bitmap: bytes, window: int, short: list[int], reach: tuple[int, int]) -> DataFrame:
     """(doc_id, row, at, hash, tokens, slots): windows of documents whose hash is in the bitmap.
 
-    ``short`` are the lengths of items below a window, looked up at their own length. ``row`` tells
-    rows with the same doc_id apart.
+    ``short`` are the lengths of items below a window, looked up at their own length; ``reach`` how far
+    windows of placeholders lie from a window with a word. ``row`` tells rows with the same doc_id apart.
     """
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches):
         bits, low = np.frombuffer(shared.value, np.uint32), np.int64((1 << BITMAP_BITS) - 1)
 
+        def listed(h):
+            return bits[(h & int(low)) >> 5] >> np.uint32(h & 31) & 1
+
         def search(texts):
             """(text number, place, hash, length) of possible hits in some texts put end to end."""
             a, ends = coded(texts)
@@ -237,9 +281,16 @@ def possible_hits(docs: DataFrame, bitmap: bytes, window: int, short: list[int])
                     if d not in made:
                         text = texts[first + d].replace("\x02", " ")
                         row = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1
-                        made = {d: (row, *template(text))}     # hits come by text; one at a time is kept
-                    row, tokens, original = made[d]
-                    rows.append((ids[first + d], row, i, x, tokens[i:i + n], original[i:i + n]))
+                        made = {d: (row, *template(text), {})}     # one text at a time is kept
+                    row, tokens, original, own = made[d]
+                    if _bare(tokens[i:i + n]):
+                        if n not in own:
+                            own[n] = _own(original, n)
+                        hits = [(i, own[n][i])]
+                    else:
+                        hits = [(i, x)] + [(i + k, _anchored(x, k)) for k in _beside(tokens, i, n, reach)]
+                    rows += [(ids[first + d], row, j, h, tokens[j:j + n], original[j:j + n])
+                             for j, h in hits if listed(h)]
                 first, held = k + 1, 0
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6,
@@ -256,10 +307,11 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: float
     """
     bench = stored(benchmark_windows(items, window), "benchmark-windows")
     short = [r[0] for r in bench.select(F.size("tokens").alias("n")).distinct().collect() if r[0] < window]
-    hits = possible_hits(docs, _bitmap(bench), window, short)
-    b = bench.select("item_id", "pos", "hash", F.col("tokens").alias("b_tokens"),
+    far = bench.agg(F.min("far").alias("back"), F.max("far").alias("on")).first()
+    hits = possible_hits(docs, _bitmap(bench), window, short, (-(far["back"] or 0), far["on"] or 0))
+    b = bench.select("item_id", "pos", "hash", "bare", F.col("tokens").alias("b_tokens"),
                      F.col("slots").alias("b_slots"), "windows")
-    met = hits.join(b, "hash").where(F.col("tokens") == F.col("b_tokens"))
+    met = hits.join(b, "hash").where((F.col("tokens") == F.col("b_tokens")) & (~F.col("bare") | (F.col("slots") == F.col("b_slots"))))
     # (benchmark value, document value) of each slot that a window fills
     pairs = F.filter(F.zip_with("b_slots", "slots", lambda x, y: F.struct(x.alias("was"), y.alias("now"))),
                      lambda p: p.was != p.now)

@@ -181,6 +181,22 @@ def test_decontamination(spark):
     assert decontaminate.leaks(docs, items.limit(0)).count() == 0
 
 
+def test_decontamination_of_items_with_few_words(spark):
+    """Windows of placeholders: word for word, or at their place beside a window with a word."""
+    numbers = " ".join(str(n) for n in range(31, 51))
+    items = [(1, "Compute 12 + 45 * 78 - 3"), (2, "7 8 9 10"), (3, f"Add up the numbers {numbers} and halve"),
+             (4, "Tell Anna 3 or Berta 4 of Carla 5 and Dora 6")]
+    others = " ".join(str(n) for n in range(131, 151))
+    docs = [(1, "so compute 12 + 45 * 78 - 3 now", [1]), (2, "Compute 1 + 2 * 3 - 4", [1]), (3, "it is 7 8 9 10 again", [2]),
+            (4, "it is 7 8 9 11 again", []), (5, items[2][1], [3]), (6, f"add up the numbers {others} and halve", [3]),
+            (7, others + " " + others, []), (8, "list " + " ".join(numbers.split()[2:17]), [3]), (9, items[3][1], [4]),
+            (10, "tell Emil 7 or Frank 8 of Gerd 9 and Hans 10", [4])]
+    got = {(r.doc_id, r.item_id): (r.matched, r.windows) for r in decontaminate.leaks(
+        spark.createDataFrame([d[:2] for d in docs], TEXT), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert set(got) == {(i, k) for i, _, found in docs for k in found}
+    assert got[5, 3] == got[6, 3] == (19, 19)
+
+
 def test_template_and_codes_agree():
     rng = random.Random(5)
     signs = list("aB é\x02ÀßΣ中 1.,:/\n") + ["Anna ", "kg ", "12 ", "two ", " Tom", "İ", "3,4:5"]
