@@ -6,8 +6,9 @@ of the documents. A window of placeholders alone says nothing by its template: i
 word, or by its template at its distance from the nearest window with a word. A document's windows are looked up in a bitmap of fixed size first (built from
 the benchmark's hashes), so that only possible hits are shuffled; the join compares hashes and the
 window's literal words decide. Matches on one alignment (document position minus item position)
-are put together; the slots they fill must be consistent: the same benchmark value is always
-replaced by the same value, of the same type. A document holds an item if the windows found cover
+are put together. A window whose original tokens are those of the item counts in any case; another
+one only if its slots agree with what most places of the alignment say, that is, each benchmark
+value is replaced by the value that stands at more than half of its places. A document holds an item if the windows found cover
 ``share`` of the item's or at least ``run`` of them.
 
 Null and empty texts hold nothing; items without words are ignored; an item shorter than a window
@@ -18,6 +19,7 @@ columns are ignored (or kept, by ``clean_documents``). Texts are read whole.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -300,10 +302,31 @@ def possible_hits(docs: DataFrame, bitmap: bytes, window: int, short: list[int],
         run, "doc_id long, row long, at int, hash long, tokens array<string>, slots array<string>")
 
 
+def agreeing(pos: list[int], n: int, slots: dict[int, tuple[str, str]]) -> tuple[int, int]:
+    """(windows that count, replacements in them); ``slots``: (benchmark value, document value) by place."""
+    votes = Counter(slots.values())
+    total = Counter(was for was, _ in slots.values())
+    equal = {at for at, (was, now) in slots.items() if was == now}
+    good = {at for at, pair in slots.items() if 2 * votes[pair] > total[pair[0]]}
+    kept = [p for p in pos if all(at in equal for at in range(p, p + n)) or all(at in good for at in range(p, p + n))]
+    return len(kept), len({slots[at] for p in kept for at in range(p, p + n) if at not in equal})
+
+
+def _agreeing(batches):
+    for batch in slices(batches, 50):
+        rows = []
+        for doc, item, windows, n, pos, found in zip(*[batch.column(k).to_pylist() for k in range(6)]):
+            rows.append((doc, item, windows, *agreeing(pos, n, {s["at"]: (s["was"], s["now"]) for s in found})))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5,
+             (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()))],
+            names=["doc_id", "item_id", "windows", "matched", "changed"])
+
+
 def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: float = SHARE, run: int = RUN) -> DataFrame:
     """(doc_id, item_id, matched, windows, changed) per document and item it holds.
 
-    matched: windows of the item found on the best alignment; changed: slots with other values.
+    matched: windows of the item that count on the best alignment; changed: slots with other values in them.
     """
     bench = stored(benchmark_windows(items, window), "benchmark-windows")
     short = [r[0] for r in bench.select(F.size("tokens").alias("n")).distinct().collect() if r[0] < window]
@@ -312,26 +335,19 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: float
     b = bench.select("item_id", "pos", "hash", "bare", F.col("tokens").alias("b_tokens"),
                      F.col("slots").alias("b_slots"), "windows")
     met = hits.join(b, "hash").where((F.col("tokens") == F.col("b_tokens")) & (~F.col("bare") | (F.col("slots") == F.col("b_slots"))))
-    # (benchmark value, document value) of each slot that a window fills
-    pairs = F.filter(F.zip_with("b_slots", "slots", lambda x, y: F.struct(x.alias("was"), y.alias("now"))),
-                     lambda p: p.was != p.now)
-    kept = F.filter(F.zip_with("b_slots", "slots", lambda x, y: F.struct(x.alias("was"), y.alias("now"))),
-                    lambda p: p.was == p.now)
-    spots = (met.select("doc_id", "row", "item_id", (F.col("at") - F.col("pos")).alias("shift"), "pos", "windows",
-                        F.transform(pairs, lambda p: p.was).alias("was"), pairs.alias("pairs"),
-                        F.transform(kept, lambda p: p.was).alias("same")))
+    # (place in the item, benchmark value, document value) of each slot that a window fills
+    slots = F.transform(F.zip_with("b_slots", "slots", lambda x, y: F.struct(x.alias("was"), y.alias("now"))),
+                        lambda p, i: F.struct((F.col("pos") + i).alias("at"), p.was.alias("was"), p.now.alias("now")))
     # an item's windows are bounded by its length, and so is what an alignment gathers
-    found = (spots.groupBy("doc_id", "row", "item_id", "shift")
-             .agg(F.count_distinct("pos").alias("matched"), F.max("windows").alias("windows"),
-                  F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
-                  F.array_distinct(F.flatten(F.collect_set("same"))).alias("same")))
-    was = F.transform("pairs", lambda p: p.was)
-    consistent = (F.size(F.array_distinct(was)) == F.size("pairs")) & ~F.arrays_overlap(was, "same")
-    held = found.where(consistent).where(
-        (F.col("matched") >= run) | (F.col("matched") >= F.col("windows") * share))
+    found = (met.groupBy("doc_id", "row", "item_id", (F.col("at") - F.col("pos")).alias("shift"))
+             .agg(F.collect_set("pos").alias("places"), F.max("windows").alias("windows"), F.max(F.size("slots")).alias("n"),
+                  F.collect_set(slots).alias("filled")))
+    enough = (F.col("matched") >= run) | (F.col("matched") >= F.col("windows") * share)
+    long_enough = found.withColumn("matched", F.size("places")).where(enough)
+    held = (long_enough.select("doc_id", "item_id", "windows", "n", "places", F.flatten("filled").alias("filled"))
+            .mapInArrow(_agreeing, "doc_id long, item_id long, windows int, matched int, changed int").where(enough))
     return (held.groupBy("doc_id", "item_id")
-            .agg(F.max_by(F.struct("matched", "windows", F.size("pairs").alias("changed")),
-                          F.struct("matched", -F.size("pairs"))).alias("s"))
+            .agg(F.max_by(F.struct("matched", "windows", "changed"), F.struct("matched", -F.col("changed"))).alias("s"))
             .select("doc_id", "item_id", "s.matched", "s.windows", "s.changed"))
 
 

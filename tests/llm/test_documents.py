@@ -197,6 +197,26 @@ def test_decontamination_of_items_with_few_words(spark):
     assert got[5, 3] == got[6, 3] == (19, 19)
 
 
+def test_one_altered_slot_frees_no_passage(spark):
+    rng = random.Random(6)
+    tail = " ".join("".join(rng.choice("aeioubdgklmnrst") for _ in range(6)) for _ in range(40))
+    items = [(1, f"they sold 12 boxes before noon and then another 12 boxes {tail}"),
+             (2, f"then Anna met Tom and Anna saw Tom and Anna left while 5 more came {tail[::-1]}")]
+    docs = [(1, items[0][1].replace("another 12", "another 13"), 1), (2, items[0][1].replace("12", "13"), 1),
+            (3, items[1][1].replace("Anna", "Berta").replace("Berta left", "Dora left").replace(" 5 ", " 6 "), 2)]
+    got = {(r.doc_id, r.item_id): r.matched for r in decontaminate.leaks(
+        spark.createDataFrame([d[:2] for d in docs], TEXT), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert set(got) == {(i, k) for i, _, k in docs}
+    assert all(got[i, k] >= 30 for i, _, k in docs)
+
+
+def test_slots_by_majority():
+    slots = {0: ("a", "b"), 1: ("x", "x"), 2: ("a", "b"), 3: ("y", "y"), 4: ("a", "c"), 5: ("z", "z"), 6: ("u", "u"), 7: ("v", "v")}
+    assert decontaminate.agreeing([0, 1, 2, 3, 4, 5, 6], 2, slots) == (5, 1)
+    tie = {0: ("a", "b"), 1: ("x", "x"), 2: ("a", "a"), 3: ("y", "y")}
+    assert decontaminate.agreeing([0, 1, 2], 2, tie) == (2, 0)
+
+
 def test_template_and_codes_agree():
     rng = random.Random(5)
     signs = list("aB é\x02ÀßΣ中 1.,:/\n") + ["Anna ", "kg ", "12 ", "two ", " Tom", "İ", "3,4:5"]
