@@ -8,10 +8,16 @@ the alphabet, a runs test around the middle, and a serial-correlation test of ne
 fourth counts repeated signs. Their p-values, combined by Fisher's sum, say how random it looks.
 
 Plain text looks random now and then, and more often the shorter it is. So the null is measured,
-not assumed: the corpus's plain words of the same lengths go through the same battery. A token's
-discovery p-value is the share of plain words, of its length class or a shorter one and read in
-its alphabet, that look at least as random. Benjamini-Hochberg over all tokens of a class of
-length and encoding picks the tokens to report. Both tables are counts per (class, score bin).
+not assumed: the corpus's plain words of the same length class go through the same battery, each
+distinct word once. A token's discovery p-value is the share of these words, read in its alphabet,
+that look at least as random. Benjamini-Hochberg over the distinct tokens of a class of length and
+encoding picks the tokens to report. A class of fewer than ``THIN`` words has no null to speak of:
+there the battery's own p-value decides, and what it does not reject as random is reported.
+
+Letter runs of one case are words as a rule, and may be keys: they are a group of their own, read in
+the alphabet of 26 letters, against the words that several rows hold. Under ``LETTER_RUN`` letters
+the battery cannot tell words from keys, so there only that null reports them. All tables are counts
+per (class, score bin).
 
 A null text counts as empty and has no span; repeated rows are scanned alike; very long texts are
 read whole; an empty table gives no rows; extra columns are ignored.
@@ -21,11 +27,11 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,10 +48,13 @@ BINS = 100          # of the randomness score
 CLASSES = (16, 20, 24, 32, 48, 64, 1 << 62)     # lower bounds of the length classes
 LENGTHS = len(CLASSES) - 1
 RATE = 0.01         # share of false discoveries allowed among the reported tokens
+THIN = 1_000        # distinct plain words a class needs as its null
+LEVEL = 0.05        # of the battery's own p-value, where the null is thin
+LETTER_RUN = 32     # letters of one case that the battery may judge without a null
 # alphabets in their natural order (fixed values)
 DIGITS, LOW = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 ALPHABETS = {"decimal": DIGITS, "hex": DIGITS + "abcdef", "base32": LOW.upper() + "234567",
-             "alnum": DIGITS + LOW, "base64": LOW.upper() + LOW + DIGITS + "+/-_"}
+             "alnum": DIGITS + LOW, "letters": LOW, "base64": LOW.upper() + LOW + DIGITS + "+/-_"}
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -81,7 +90,7 @@ def randomness(token: str, name: str | None = None) -> float:
     name = name or encoding(token)
     alphabet = ALPHABETS[name]
     body = token.rstrip("=")
-    if name in ("hex", "alnum") and not set(body) <= set(alphabet):
+    if name in ("hex", "alnum", "letters") and not set(body) <= set(alphabet):
         body = body.lower()
     x = np.array([alphabet.index(c) for c in body])
     n, size = len(x), min(len(alphabet), 64)
@@ -122,7 +131,12 @@ def _bin(score: float) -> int:
 @lru_cache(50_000)
 def looks(token: str, name: str) -> tuple[int, int]:
     """(class of encoding and length, bin of the score)."""
-    return length_class(len(token)) + LENGTHS * (name == "base64"), _bin(randomness(token, name))
+    group = 1 if name == "base64" else 2 if name == "letters" else 0
+    return length_class(len(token)) + LENGTHS * group, _bin(randomness(token, name))
+
+
+def _key(token: str) -> int:
+    return xxhash.xxh64_intdigest(token.encode()) >> 1
 
 
 def plain(token: str) -> bool:
@@ -137,13 +151,15 @@ def candidates(text: str, taken: list[tuple[int, int, int]]):
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, base (kind, start, end), found (start, end, length class, bin), plain (class, bin, n).
+    """Per row: doc_id, base (kind, start, end), found (start, end, class, bin, key), plain (class, bin, key).
 
-    ``plain`` counts the row's plain words: together they are the null of the whole corpus.
+    ``plain`` holds the row's distinct plain words: together they are the null of the whole corpus.
+    ``key`` tells distinct tokens and words.
     """
     span = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
-    run_ = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("class", pa.int32()), ("bin", pa.int32())])
-    cell = pa.struct([("class", pa.int32()), ("bin", pa.int32()), ("n", pa.int64())])
+    run_ = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("class", pa.int32()), ("bin", pa.int32()),
+                      ("key", pa.int64())])
+    cell = pa.struct([("class", pa.int32()), ("bin", pa.int32()), ("key", pa.int64())])
 
     def run(batches):
         for batch in slices(batches):
@@ -152,47 +168,57 @@ def scan(docs: DataFrame) -> DataFrame:
                 text = text or ""
                 spans = base_spans(text)
                 base.append([{"start": s, "kind": k, "end": e} for s, k, e in spans])
-                tokens, words = [], Counter()
+                tokens, words = [], set()
                 for s, e, word in candidates(text, spans):
                     token = text[s:e]
+                    name = encoding(token)
                     if word:
                         # a plain word is natural text in its own alphabet and in the widest one
-                        words[looks(token, encoding(token))] += 1
-                        words[looks(token, "base64")] += 1
-                    else:
-                        c, b = looks(token, encoding(token))
-                        tokens.append({"start": s, "end": e, "class": c, "bin": b})
+                        key = _key(token)
+                        words.update((*looks(token, n), key) for n in (name, "base64", "letters"))
+                        if token.istitle():
+                            continue
+                        name = "letters"
+                    c, b = looks(token, name)
+                    tokens.append({"start": s, "end": e, "class": c, "bin": b, "key": _key(token)})
                 found.append(tokens)
-                null.append([{"class": c, "bin": b, "n": n} for (c, b), n in words.items()])
+                null.append([{"class": c, "bin": b, "key": k} for c, b, k in words])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(base, pa.list_(span)), pa.array(found, pa.list_(run_)),
                  pa.array(null, pa.list_(cell))], names=["doc_id", "base", "found", "plain"])
 
     return docs.select("doc_id", "text").mapInArrow(
         run, "doc_id long, base array<struct<start long, kind int, end long>>, "
-             "found array<struct<start long, end long, class int, bin int>>, "
-             "plain array<struct<class int, bin int, n long>>")
+             "found array<struct<start long, end long, class int, bin int, key long>>, "
+             "plain array<struct<class int, bin int, key long>>")
+
+
+def _cut(c: int, tokens: dict[tuple[int, int], int], plain: dict[tuple[int, int], int], rate: float, alone: bool) -> int:
+    """The lowest bin of class ``c`` that is reported; ``alone``: the battery may decide without a null."""
+    n_plain = sum(n for (k, _), n in plain.items() if k == c)
+    n_tokens = sum(n for (k, _), n in tokens.items() if k == c)
+    if n_plain < THIN:
+        return _bin(LEVEL) if n_tokens and alone else BINS
+    best, above, null = BINS, 0, 0
+    for b in range(BINS - 1, -1, -1):
+        above += tokens.get((c, b), 0)
+        null += plain.get((c, b), 0)
+        if above and (null + 1) / (n_plain + 1) <= rate * above / n_tokens:
+            best = b
+    return best
 
 
 def cut_points(tokens: dict[tuple[int, int], int], plain: dict[tuple[int, int], int], rate: float = RATE) -> list[int]:
-    """Per class the lowest bin reported (BINS if none), Benjamini-Hochberg over its tokens.
+    """Per class the lowest bin reported (BINS if none), Benjamini-Hochberg over its distinct tokens.
 
     Classes are the lengths of the narrow encodings, then those of base64.
     """
-    out = []
-    for c in range(2 * LENGTHS):
-        shorter = range(c - c % LENGTHS, c + 1)
-        n_plain = sum(n for (k, _), n in plain.items() if k in shorter)
-        n_tokens = sum(n for (k, _), n in tokens.items() if k == c)
-        best, above, null = BINS, 0, 0
-        for b in range(BINS - 1, -1, -1):
-            above += tokens.get((c, b), 0)
-            null += sum(plain.get((k, b), 0) for k in shorter)
-            p = (null + 1) / (n_plain + 1)
-            if above and p <= rate * above / n_tokens:
-                best = b
-        out.append(best)
-    return out
+    return [_cut(c, tokens, plain, rate, True) for c in range(2 * LENGTHS)]
+
+
+def letter_cuts(tokens: dict[tuple[int, int], int], plain: dict[tuple[int, int], int], rate: float = RATE) -> list[int]:
+    """The same for letter runs of one case, whose classes follow those of ``cut_points``."""
+    return [_cut(2 * LENGTHS + k, tokens, plain, rate, CLASSES[k] >= LETTER_RUN) for k in range(LENGTHS)]
 
 
 def find(docs: DataFrame, rate: float = RATE) -> DataFrame:
@@ -200,12 +226,15 @@ def find(docs: DataFrame, rate: float = RATE) -> DataFrame:
     seen = stored(scan(docs), "secret-scan")
 
     def counts(column):
-        cells = seen.select(F.explode(column).alias("c"))
-        n = F.sum("c.n") if column == "plain" else F.count("*")
+        """Distinct tokens or words per (class, bin); of letter runs only words that several rows hold are a null."""
+        cells = (seen.select(F.explode(column).alias("c")).groupBy("c.class", "c.bin", "c.key").agg(F.count("*").alias("rows")))
+        if column == "plain":
+            cells = cells.where((F.col("class") < 2 * LENGTHS) | (F.col("rows") > 1))
         return {(r["class"], r["bin"]): r["n"] for r in
-                cells.groupBy("c.class", "c.bin").agg(n.alias("n")).collect()}     # classes x bins at most
+                cells.groupBy("class", "bin").agg(F.count("*").alias("n")).collect()}     # classes x bins at most
 
-    cuts = F.array(*[F.lit(c) for c in cut_points(counts("found"), counts("plain"), rate)])
+    tokens, words = counts("found"), counts("plain")
+    cuts = F.array(*[F.lit(c) for c in cut_points(tokens, words, rate) + letter_cuts(tokens, words, rate)])
     random = F.transform(F.filter("found", lambda t: t.bin >= F.element_at(cuts, t["class"] + 1)),
                          lambda t: F.struct(t.start.alias("start"), F.lit(len(KINDS)).alias("kind"), t.end.alias("end")))
     return seen.select("doc_id", "base", F.array_sort(F.concat("base", random)).alias("spans"))

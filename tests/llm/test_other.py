@@ -158,6 +158,18 @@ def test_discovery_control():
     assert secrets.cut_points({}, {}) == [secrets.BINS] * (2 * secrets.LENGTHS)
 
 
+def test_secrets_without_a_null(spark):
+    """Keys are found in a table without long words, and where one word is in every row."""
+    rng = random.Random(8)
+    wide, low = secrets.ALPHABETS["base64"][:64], secrets.LOW
+    keys = ["".join(rng.choice(wide) for _ in range(40)) for _ in range(20)] + ["".join(rng.choice(low) for _ in range(48)) for _ in range(20)]
+    for word in ("", "xqzjvkwpyhbmfgdu "):
+        rows = [(i, f"{word}key {k} end") for i, k in enumerate(keys)] + [(100 + i, f"{word}some/path_of_words/and-more-words") for i in range(2000)]
+        got = [r for r in secrets.find(spark.createDataFrame(rows, "doc_id long, text string")).collect() if any(s.kind == 3 for s in r.spans)]
+        assert sum(r.doc_id < 20 for r in got) >= 15 and sum(20 <= r.doc_id < 40 for r in got) >= 15
+        assert not any(r.doc_id >= 100 for r in got)
+
+
 def test_factorisation_identity():
     rng = __import__("numpy").random.default_rng(0)
     m = quality.Model(0.3, rng.normal(size=quality.SIZE), rng.normal(size=(quality.SIZE, 4)))
