@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
 
@@ -41,7 +42,8 @@ END = "$"                 # end of a word in the trie
 # a word, also with signs in place of letters inside
 WORD = re.compile(r"[^\W_]+(?:[*@$!|]+[^\W_]+)*")
 # fixed values: marks of quotation, of reported speech and of the second person
-QUOTES = "\"“”„«»‘’"
+QUOTES = re.compile("[\"“”„«»‘’]|\n\\s*\n")     # or the end of a paragraph
+CLOSED_BY = {'"': '"', "“": "”", "„": "“”", "«": "»", "»": "«", "‘": "’", "”": "”", "’": "’"}
 REPORTED = frozenset("said says say saying called calls call word words term quote quoted quotes wrote writes "
                      "told slur insult insults sagte sagt wort nannte dit mot appelé dijo dice palabra".split())
 PERSON = frozenset("you your you're u du dich dir ihr tu te toi vous tú usted ustedes".split())
@@ -163,6 +165,31 @@ class Automaton:
         return end if stem is None or end is not None and end <= stem else stem
 
 
+def quotations(text: str) -> list[tuple[int, int]]:
+    """(start, end) of what stands between an opening mark and its own closing one, outermost pairs, in order."""
+    spans, marks = [], []       # marks: those open, outermost first
+    for m in QUOTES.finditer(text):
+        q, i = m[0], m.start()
+        if len(q) > 1:
+            marks.clear()
+            continue
+        before, after = text[i - 1:i], text[i + 1:i + 2]
+        if q == "’" and before.isalnum() and after.isalnum():
+            continue            # an apostrophe
+        begins = (not before or before.isspace() or before in "([{-–—") and bool(after) and not after.isspace()
+        same = q in "\"”’"      # marks that may open or close
+        at = next((k for k in range(len(marks) - 1, -1, -1) if q in CLOSED_BY[marks[k][0]]), None)
+        if at is not None and not (same and begins):
+            start = marks[at][1]
+            del marks[at:]
+            while spans and spans[-1][0] > start:
+                spans.pop()
+            spans.append((start, i))
+        elif not same or begins or q == '"' and after and not after.isspace():
+            marks = [x for x in marks if x[0] != q] + [(q, i)]
+    return spans
+
+
 def features(text: str, automaton: Automaton, known: frozenset[str], memo: dict) -> list[float]:
     """Sums over the windows of one text, in the order of FEATURES without the first."""
     low = text.lower()
@@ -179,14 +206,15 @@ def features(text: str, automaton: Automaton, known: frozenset[str], memo: dict)
             found[w] = m
     if not found:
         return [0.0] * (len(FEATURES) - 1)
+    quotes = quotations(low)
     spots = [(i, m) for i, m in enumerate(WORD.finditer(low)) if m[0] in found]
     exact = near = quoted = person = cluster = 0.0
     last = None
     for i, m in spots:
         edits, _ = found[m[0]]
         around = words[max(0, i - WINDOW):i + WINDOW + 1]
-        left, right = low[max(0, m.start() - 60):m.start()], low[m.end():m.end() + 60]
-        inside = any(q in left for q in QUOTES) and any(q in right for q in QUOTES)
+        k = bisect_right(quotes, (m.start(), len(low))) - 1
+        inside = k >= 0 and m.end() <= quotes[k][1]
         told = inside or not REPORTED.isdisjoint(words[max(0, i - 4):i])
         # a window that quotes counts as quotation, not as abuse
         if told:

@@ -340,6 +340,17 @@ def test_automaton_is_edit_distance():
         assert automaton.match(word) == min(near, default=None), word
 
 
+def test_quotations_are_pairs():
+    automaton = toxicity.Automaton(["idiot$"])
+    quoted = toxicity.FEATURES.index("quoted") - 1
+    for text, inside in [("you’re an idiot, don’t come", 0), ("l’homme est idiot d’accord", 0), ("“fine” you idiot “good”", 0),
+                         ("\"fine\" you idiot \"good\"", 0), ("he put “an idiot” there", 1), ("er schrieb „du idiot“ hin", 1),
+                         ("il a mis « un idiot » ici", 1), ("»ein idiot« steht da", 1), ("it has ‘the boy’s idiot’ on it", 1),
+                         ("x=\"idiot\"", 1), ("the sign “not an ‘idiot’ here” hangs", 1), ("“open\n\nan idiot” here", 0), ("", 0)]:
+        got = toxicity.features(text, automaton, frozenset(), {})
+        assert (got[quoted] > 0) == bool(inside), text
+
+
 def test_toxicity(spark):
     rng = random.Random(7)
     words = ["calm%s" % c for c in "abcdefghijklmnop"]
