@@ -36,8 +36,10 @@ THRESHOLD = 0.7
 MEMO = 200_000            # words whose match is remembered
 WINDOW = 8                # words on either side of a match
 STEM = (4, 12)            # shortest and longest beginning that may become a stem
-PRECISION = 0.9           # of a term on the training rows, documents counted
-SUPPORT = 0.02            # of the toxic training rows that a term occurs in, at least
+PRECISION = 0.9           # of a term: its share of toxic rows over that plus its share of clean rows
+SUPPORT = 4               # toxic training rows that a term occurs in, at least
+ALPHA = 0.01              # chance of any wrong term in the lexicon
+SHORTEST = 2              # letters of a whole word that may become a term
 END = "$"                 # end of a word in the trie
 # a word, also with signs in place of letters inside
 WORD = re.compile(r"[^\W_]+(?:[*@$!|]+[^\W_]+)*")
@@ -232,7 +234,7 @@ def features(text: str, automaton: Automaton, known: frozenset[str], memo: dict)
 
 def beginnings(word: str):
     """The word with its end, and its beginnings that may be stems."""
-    if len(word) >= STEM[0]:
+    if len(word) >= SHORTEST:
         yield word + END
         for k in range(STEM[0], min(len(word), STEM[1]) + 1):
             yield word[:k]
@@ -251,9 +253,25 @@ def _counts(sample: DataFrame, terms_of) -> DataFrame:
     return sample.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def choose_terms(toxic: dict[str, int], clean: dict[str, int]) -> list[str]:
-    """Terms of high precision; of beginnings with the same documents the longest, of nested ones the shortest."""
-    good = {t: p for t, p in toxic.items() if p >= PRECISION * (p + clean.get(t, 0))}
+def precise(p: int, c: int, n_toxic: int, n_clean: int) -> bool:
+    """Whether ``p`` toxic and ``c`` clean rows make PRECISION, toxic and clean rows weighing the same."""
+    return p * max(1, n_clean) >= PRECISION * (p * max(1, n_clean) + c * max(1, n_toxic))
+
+
+def chance(p: int, c: int, share: float) -> float:
+    """P(at least ``p`` of ``p + c`` rows are toxic), if each is with probability ``share`` (Chernoff's bound)."""
+    x = p / (p + c)
+    if x <= share:
+        return 1.0
+    d = x * math.log(x / share) + ((1 - x) * math.log((1 - x) / (1 - share)) if c else 0.0)
+    return math.exp(-(p + c) * d)
+
+
+def choose_terms(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int) -> list[str]:
+    """Significant terms of high precision; of beginnings with the same documents the longest, of nested ones the shortest."""
+    share = n_toxic / max(1, n_toxic + n_clean)
+    good = {t: p for t, p in toxic.items() if precise(p, clean.get(t, 0), n_toxic, n_clean)
+            and chance(p, clean.get(t, 0), share) * len(toxic) <= ALPHA}
     further = {}
     for t, p in good.items():
         if len(t) > STEM[0]:
@@ -279,14 +297,16 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1,
                                         sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
         in_toxic = pairs(_counts(toxic, lambda words: words))
         in_clean = pairs(_counts(clean, lambda words: words).where(F.col("n") >= 2))
-        known = frozenset(w for w, k in in_clean.items() if k > (1 - PRECISION) * (k + in_toxic.get(w, 0)))
-        least = max(4, math.ceil(SUPPORT * n[1]))
+        known = frozenset(w for w, k in in_clean.items() if not precise(in_toxic.get(w, 0), k, n[1], n[0]))
+        # in fewer rows no term is significant, whatever clean rows hold
+        share = n[1] / max(1, n[0] + n[1])
+        least = max(SUPPORT, math.ceil(math.log(ALPHA) / math.log(share)) if 0 < share < 1 else SUPPORT)
         stems = pairs(_counts(toxic, lambda words: {b for w in words - known for b in beginnings(w)})
                       .where(F.col("n") >= least))
         wanted = frozenset(stems)
         terms = tuple(choose_terms(stems, pairs(_counts(
-            clean, lambda words: {b for w in words - known for b in beginnings(w)} & wanted))))
-        known = frozenset(w for w in known if len(w) >= STEM[0] - 1)
+            clean, lambda words: {b for w in words - known for b in beginnings(w)} & wanted)), n[1], n[0]))
+        known = frozenset(w for w in known if len(w) >= SHORTEST)
         rows = _with_features(sample, terms, known).select("toxic", "_features").toArrow()
     finally:
         sample.unpersist()

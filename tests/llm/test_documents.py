@@ -351,6 +351,17 @@ def test_quotations_are_pairs():
         assert (got[quoted] > 0) == bool(inside), text
 
 
+def test_lexicon_does_not_depend_on_size_or_balance():
+    rare = {"grumblug$": 30, "zut$": 200, "common$": 900}
+    for n in (1000, 2000, 20_000):
+        assert "grumblug$" in toxicity.choose_terms(rare, {"common$": 900}, n, n)
+    # one toxic row in a hundred, and clean rows that quote the term
+    assert toxicity.choose_terms({"snarfix$": 200, "zut$": 200}, {"snarfix$": 40, "zut$": 19_000}, 200, 19_800) == ["snarfix$"]
+    assert toxicity.precise(200, 40, 200, 19_800) and not toxicity.precise(900, 900, 1000, 1000)
+    assert toxicity.choose_terms({"chance$": 4}, {}, 1000, 1000) == []
+    assert "zut$" in set(toxicity.beginnings("zut"))
+
+
 def test_toxicity(spark):
     rng = random.Random(7)
     words = ["calm%s" % c for c in "abcdefghijklmnop"]
