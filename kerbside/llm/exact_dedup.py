@@ -57,8 +57,8 @@ def _best() -> Column:
 def stream_state(arrivals: DataFrame, max_files: int | None = None) -> DataFrame:
     """Stream a stored table of arrivals through the keyed state; (digest, n, best) at the end.
 
-    ``max_files`` files make a micro-batch (None: all at once). A restarted stream goes on from
-    its checkpoint; a micro-batch repeated after a failure overwrites its own updates.
+    ``max_files`` files make a micro-batch (None: all at once). Each call has a checkpoint of
+    its own; a micro-batch repeated after a failure overwrites its own updates.
     """
     spark = arrivals.sparkSession
     base = f"{shared_folder(spark)}/dedup-stream-{uuid.uuid4().hex}"
