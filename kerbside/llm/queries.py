@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import chat, common, decontaminate, exact_dedup, licences, packing, quality, secrets, simhash, toxicity, urls
+from kerbside.llm import centroids, chat, common, decontaminate, exact_dedup, licences, packing, quality, secrets, simhash, toxicity, urls
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -82,11 +82,39 @@ def op10_decontamination(spark, sf):
     return decontaminate.leaks(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
 
+def op13_centroids(spark, sf):
+    return centroids.cluster(_table(spark, sf, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat, op2_exact_dedup, op3_licences, op4_simhash, op5_quality, op6_packing, op7_urls, op8_toxicity, op9_secrets,
-    op10_decontamination)}
+    op10_decontamination, op13_centroids)}
+
+def _centroid_sql(rounds: int) -> str:
+    """Every round written out: distances by inner products (whole numbers in doubles), sums floored exactly."""
+    parts = ["""e as materialized (select row_number() over () as row_id, vec_id,
+                    list_transform(embedding, lambda x: floor(1024 * x::double)) as v from embeddings
+                    where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)""",
+             """c0 as materialized (select row_number() over (order by sha256('3:' || coalesce(vec_id::text, '')), v) - 1 as k, v
+                    from e qualify k < 8)"""]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} as materialized (select row_id, e.v, min((list_dot_product(e.v, e.v) + list_dot_product(c{i}.v, c{i}.v)
+                    - 2 * list_dot_product(e.v, c{i}.v), k)) as best from e, c{i} group by all)""")
+        if i < rounds:
+            parts.append(f"""s{i} as (select best[2] as k, i, sum(x::bigint) as s, count(*) as n
+                    from (select best, unnest(v) as x, generate_subscripts(v, 1) as i from a{i}) group by all)""")
+            parts.append(f"""c{i + 1} as materialized (select k, coalesce(m.v, c{i}.v) as v from c{i} left join
+                    (select k, list(((s - ((s % n) + n) % n) // n)::double order by s{i}.i) as v from s{i} group by k) m using (k))""")
+    return f"""with {", ".join(parts)}
+        select vec_id, best[2]::int as cluster, best[1]::bigint as distance,
+               (sum(best[1]::bigint) over (partition by best[2]))::bigint as cluster_inertia,
+               (sum(best[1]::bigint) over ())::bigint as inertia,
+               sha256(array_to_string(list_transform(c{rounds}.v, lambda x: x::bigint), ',')) as centroid_sha256
+        from a{rounds} join e using (row_id) join c{rounds} on k = best[2]"""
+
 
 SQL = {
+    "op13_centroids": _centroid_sql(10),
     "op1_chat": r"""
         with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
                    union all select -7, 0, 'user', '\### Assistant: </turn> ok'
