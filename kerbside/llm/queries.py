@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import centroids, chat, common, decontaminate, exact_dedup, licences, packing, quality, secrets, simhash, toxicity, urls
+from kerbside.llm import centroids, chat, common, decontaminate, exact_dedup, licences, packing, quality, recurrent, secrets, simhash, spelling, toxicity, urls
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -82,13 +82,21 @@ def op10_decontamination(spark, sf):
     return decontaminate.leaks(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
 
+def op11_spelling(spark, sf):
+    return spelling.variants(_table(spark, sf, "documents"), least=7, times=2, ratio=10, slips=31)
+
+
+def op12_language_model(spark, sf):
+    return recurrent.likelihoods(_table(spark, sf, "documents"))
+
+
 def op13_centroids(spark, sf):
     return centroids.cluster(_table(spark, sf, "embeddings"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_chat, op2_exact_dedup, op3_licences, op4_simhash, op5_quality, op6_packing, op7_urls, op8_toxicity, op9_secrets,
-    op10_decontamination, op13_centroids)}
+    op10_decontamination, op11_spelling, op12_language_model, op13_centroids)}
 
 def _centroid_sql(rounds: int) -> str:
     """Every round written out: distances by inner products (whole numbers in doubles), sums floored exactly."""
