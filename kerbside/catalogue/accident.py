@@ -193,4 +193,40 @@ SELECT o_orderkey, CASE WHEN h < 6 OR h >= 20 THEN 'Night' WHEN h < 10 THEN 'Mor
   WHEN age >= 40 AND age < 65 THEN 'middle_aged' WHEN age >= 65 AND age < 100 THEN 'senior' ELSE 'Unknown' END AS age_group,
  {_wave('hour', '2*pi()*h/24')}, {_wave('day_of_week', '2*pi()*w/7')} FROM r"""
 
-QUERIES |= {"accident_merge": accident_merge, "accident_table": accident_table, "modelling_rows": modelling_rows, "derived_report": derived_report}
+# ---- clusters: two rounds of two starts a year, written out -------------------------------
+_CNUM = ["speed_limit", "impact_score", "impact_delta", "lighting_ordinal", "weather_ordinal"]
+_CCAT = ["role", "time_of_day", "location", "vehicle_category_simplified_other", "surface_quality_indicator"]
+_GAMMA = 2.0
+
+
+def accident_clusters(spark, sf):
+    """The cluster column of the accident table, fitted per year."""
+    f = accidents.selected(_stages(spark, sf)["E_imputed"], keep=_KEEP)
+    out = accidents.clustered(f, k=3, restarts=2, max_rounds=2, numeric=_CNUM, categorical=_CCAT, gamma=_GAMMA, keys=["id_user"])
+    return out.select("id_user", "year", "cluster")
+
+
+def _cluster_round(i):
+    """Labels and costs by the prototypes of round i, then their means and modes."""
+    far = " + ".join([f"coalesce(pow(t.{c}::DOUBLE - p.{c}, 2), 0)" for c in _CNUM]
+                     + [f"CASE WHEN t.{c} IS NOT DISTINCT FROM p.{c} THEN 0.0::DOUBLE ELSE {_GAMMA}::DOUBLE END" for c in _CCAT])
+    mode = ", ".join(f"""(SELECT v FROM (SELECT l.{c} AS v, count(*) AS n FROM l{i} l WHERE l.year = g.year AND l.start = g.start AND l.cluster = g.cluster GROUP BY 1)
+      ORDER BY n DESC, CAST(v AS VARCHAR) LIMIT 1) AS {c}""" for c in _CCAT)
+    return f"""l{i} AS MATERIALIZED (SELECT t.*, p.start, p.cluster, {far} AS far FROM t JOIN p{i} p USING (year)
+   QUALIFY row_number() OVER (PARTITION BY t.rid, p.start ORDER BY far, p.cluster) = 1),
+ g{i} AS MATERIALIZED (SELECT year, start, cluster, {', '.join(f'coalesce(avg({c}::DOUBLE), 0) AS {c}' for c in _CNUM)} FROM l{i} GROUP BY ALL),
+ p{i + 1} AS MATERIALIZED (SELECT year, start, cluster, {', '.join(_CNUM)}, {mode} FROM g{i} g UNION ALL
+   SELECT year, start, cluster, {', '.join(_CNUM + _CCAT)} FROM p{i} o WHERE NOT EXISTS (FROM g{i} g WHERE g.year = o.year AND g.start = o.start AND g.cluster = o.cluster))"""
+
+
+SQL["accident_clusters"] = f"""WITH t AS MATERIALIZED (SELECT row_number() OVER () AS rid, id_user, year, {', '.join(_CNUM + _CCAT)} FROM ({SQL['accident_table']}) f),
+ p0 AS MATERIALIZED (SELECT year, s AS start, CAST(row_number() OVER (PARTITION BY year, s ORDER BY md5(concat_ws('|', 42 + s, id_user))) - 1 AS INT) AS cluster,
+   {', '.join(f'coalesce({c}, 0)::DOUBLE AS {c}' for c in _CNUM)}, {', '.join(_CCAT)} FROM t, (VALUES (0), (1)) v(s) QUALIFY cluster < 3),
+ {_cluster_round(0)}, {_cluster_round(1)},
+ best AS (SELECT year, start FROM (SELECT year, start, sum(far) AS cost FROM l1 GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY year ORDER BY cost, start) = 1),
+ last AS (SELECT t.id_user, t.year, p.cluster FROM t JOIN best USING (year) JOIN p2 p ON p.year = t.year AND p.start = best.start
+   QUALIFY row_number() OVER (PARTITION BY t.rid ORDER BY {" + ".join([f"coalesce(pow(t.{c}::DOUBLE - p.{c}, 2), 0)" for c in _CNUM]
+   + [f"CASE WHEN t.{c} IS NOT DISTINCT FROM p.{c} THEN 0.0::DOUBLE ELSE {_GAMMA}::DOUBLE END" for c in _CCAT])}, p.cluster) = 1)
+ SELECT id_user, year, cluster::SMALLINT AS cluster FROM last"""
+
+QUERIES |= {"accident_clusters": accident_clusters, "accident_merge": accident_merge, "accident_table": accident_table, "modelling_rows": modelling_rows, "derived_report": derived_report}

@@ -201,18 +201,19 @@ def kproto_converged(spark, sf):
 
 
 # ---- gaps and odd values -----------------------------------------------------------------
-_ACCT = "CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_acctbal END"
-_NAT = "CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_nationkey::DOUBLE END"
+_ACCT = "CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_acctbal::DECIMAL(15,2) END"
+_NAT = "CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_nationkey END"
 
 
 @query(f"""WITH c AS (SELECT c_custkey AS k, c_custkey % 3 AS g, {_ACCT} AS x, {_NAT} AS y, c_mktsegment AS s FROM customer),
-r AS (SELECT max(x) - min(x) AS rx, max(y) - min(y) AS ry FROM c),
-p AS (SELECT a.k, a.g AS own, b.g AS "group", avg(abs(a.x - b.x) / rx) AS dx, avg(abs(a.y - b.y) / ry) AS dy, avg(CASE WHEN a.s = b.s THEN 0.0 ELSE 1.0 END) AS ds FROM c a JOIN c b ON a.k <> b.k, r GROUP BY ALL)
+r AS (SELECT (max(x) - min(x))::DOUBLE AS rx, (max(y) - min(y))::DOUBLE AS ry FROM c),
+p AS (SELECT a.k, a.g AS own, b.g AS "group", sum(abs(a.x - b.x))::DOUBLE / (rx * count(b.x)) AS dx, sum(abs(a.y - b.y))::DOUBLE / (ry * count(b.y)) AS dy,
+  sum(CASE WHEN a.s = b.s THEN 0 ELSE 1 END)::DOUBLE / count(*) AS ds FROM c a JOIN c b ON a.k <> b.k, r GROUP BY a.k, a.g, b.g, rx, ry)
 SELECT k, own, "group", round((coalesce(dx, 0) + coalesce(dy, 0) + ds) / (1 + (dx IS NOT NULL)::INT + (dy IS NOT NULL)::INT), 6) AS distance FROM p""")
 def gower_with_gaps(spark, sf):
     c = table(spark, sf, "customer").select(
-        F.col("c_custkey").alias("k"), (F.col("c_custkey") % 3).alias("g"), F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal")).alias("x"),
-        F.when(F.col("c_custkey") % 5 != 0, F.col("c_nationkey").cast("double")).alias("y"), F.col("c_mktsegment").alias("s"))
+        F.col("c_custkey").alias("k"), (F.col("c_custkey") % 3).alias("g"), F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal").cast("decimal(15,2)")).alias("x"),
+        F.when(F.col("c_custkey") % 5 != 0, F.col("c_nationkey")).alias("y"), F.col("c_mktsegment").alias("s"))
     out = gower.to_groups(c, "k", "g", [0, 1, 2], ["x", "y"], ["s"])
     return out.select("k", "own", "group", r6("distance").alias("distance"))
 

@@ -6,7 +6,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from kerbside.catalogue.tables import r6, table
-from kerbside.ml import famd, isolation, models, prepare, search, smote
+from kerbside.ml import famd, forest, isolation, models, prepare, search, smote
 from kerbside.operators import evaluate, ordered
 
 QUERIES, SQL = {}, {}
@@ -105,11 +105,42 @@ def parameter_search(spark, sf):
     return search.search(_vectors(spark, sf), "y", CLASSES, ["vec_id"], models.decision_tree, points).drop("fold_scores")
 
 
-@query()
+_LINES = """p AS (SELECT l_linenumber % 3 AS y, CASE WHEN l_quantity > 30 THEN 0 WHEN l_quantity > 15 THEN 1 ELSE 2 END AS pred, l_quantity / 50.0::DOUBLE AS p0,
+  l_tax * 10.0::DOUBLE AS p1, l_discount * 10.0::DOUBLE AS p2 FROM lineitem), n AS (SELECT count(*)::DOUBLE AS n FROM p)"""
+_PER = """lab AS (SELECT c, (SELECT count(*) FROM p WHERE y = c)::DOUBLE AS support, (SELECT count(*) FROM p WHERE {pred} = c)::DOUBLE AS said,
+  (SELECT count(*) FROM p WHERE y = c AND {pred} = c)::DOUBLE AS tp FROM (VALUES (0), (1), (2)) v(c)),
+ f AS (SELECT *, coalesce(tp / nullif(said, 0), 0) AS precision, coalesce(tp / nullif(support, 0), 0) AS recall, coalesce(2 * tp / nullif(said + support, 0), 0) AS f1 FROM lab),
+ al AS (SELECT sum(tp) / sum(support) AS accuracy, avg(precision) AS mp, avg(recall) AS mr, avg(f1) AS mf, sum(precision * support) / sum(support) AS wp,
+  sum(recall * support) / sum(support) AS wr, sum(f1 * support) / sum(support) AS wf, sum(support) AS n FROM f),
+ ka AS (SELECT 1 - sum((y - {pred}) ** 2) / nullif(sum(y * y) + sum({pred} * {pred}) - 2.0::DOUBLE * sum(y) * sum({pred}) / count(*), 0) AS kappa FROM p)"""
+_SCORES = """SELECT '{part}' AS part, 'all' AS row, unnest(['accuracy', 'macro_f1', 'weighted_f1', 'kappa']) AS col, unnest([accuracy, mf, wf, kappa]) AS value FROM al, ka"""
+_CURVE = " UNION ALL ".join(f"""SELECT '{c}' AS class, score, sum(n) OVER w AS predicted, sum(pos) OVER w AS tp, pos, sum(pos) OVER () AS positives FROM (
+  SELECT p{c} AS score, count(*) AS n, count(*) FILTER (WHERE y = {c}) AS pos FROM p GROUP BY 1) WINDOW w AS (ORDER BY score DESC)""" for c in range(3))
+_MAJORITY = "(SELECT y FROM p GROUP BY y ORDER BY count(*) DESC, y LIMIT 1)"
+
+
+@query(f"""SELECT part, row, col, round(value, 6) AS value FROM (
+WITH {_LINES}, {_PER.format(pred='pred')}, cv AS ({_CURVE}), g AS (SELECT t.c AS y, s.c AS pred, (SELECT count(*) FROM p WHERE p.y = t.c AND p.pred = s.c)::DOUBLE AS n FROM lab t, lab s)
+SELECT 'confusion_n' AS part, y::VARCHAR AS row, pred::VARCHAR AS col, n AS value FROM g
+UNION ALL SELECT 'confusion_share_of_truth', y::VARCHAR, pred::VARCHAR, n / nullif(sum(n) OVER (PARTITION BY y), 0) FROM g
+UNION ALL SELECT 'confusion_share_of_pred', y::VARCHAR, pred::VARCHAR, n / nullif(sum(n) OVER (PARTITION BY pred), 0) FROM g
+UNION ALL SELECT 'report', c::VARCHAR, unnest(['precision', 'recall', 'f1', 'support']), unnest([precision, recall, f1, support]) FROM f
+UNION ALL SELECT 'report', 'accuracy', unnest(['precision', 'recall', 'f1', 'support']), unnest([accuracy, accuracy, accuracy, n]) FROM al
+UNION ALL SELECT 'report', 'macro avg', unnest(['precision', 'recall', 'f1', 'support']), unnest([mp, mr, mf, n]) FROM al
+UNION ALL SELECT 'report', 'weighted avg', unnest(['precision', 'recall', 'f1', 'support']), unnest([wp, wr, wf, n]) FROM al
+UNION ALL {_SCORES.format(part='scores')}
+UNION ALL SELECT 'precision', class, predicted::VARCHAR, tp / predicted::DOUBLE FROM cv
+UNION ALL SELECT 'recall', class, predicted::VARCHAR, tp / nullif(positives, 0)::DOUBLE FROM cv
+UNION ALL SELECT 'average_precision', class, 'average_precision', sum(pos / positives::DOUBLE * tp / predicted::DOUBLE) FROM cv GROUP BY class)
+UNION ALL SELECT part, row, col, round(value, 6) FROM (WITH {_LINES}, {_PER.format(pred=_MAJORITY)} {_SCORES.format(part='baseline')})""")
 def model_evaluation(spark, sf):
-    rows = _vectors(spark, sf)
-    scored = models.decision_tree(rows, "y", CLASSES).transform(rows).cache()
-    return evaluate.evaluate_model(scored, rows, "y", CLASSES)["average_precision"]
+    """Everything an evaluation gives, of given predictions, as one long table."""
+    quantity = F.col("l_quantity")
+    scored = table(spark, sf, "lineitem").select(
+        (F.col("l_linenumber") % 3).cast("int").alias("y"), F.when(quantity > 30, 0).when(quantity > 15, 1).otherwise(2).alias("prediction"),
+        F.array(quantity / 50, F.col("l_tax") * 10, F.col("l_discount") * 10).alias("probability"))
+    parts = evaluate.evaluate_model(scored, scored, "y", CLASSES)
+    return evaluate.as_long(parts).withColumn("value", F.round("value", 6))
 
 
 @query()
@@ -150,3 +181,28 @@ def nearest_neighbours(spark, sf):
     distinct = e.groupBy("v").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"))
     out = smote.neighbours(distinct.select("id", "v", "copies"), 3)
     return out.select("id", "near", r6("distance").alias("distance"), "place")
+
+
+@query("SELECT count(*) AS searched, true AS found_nine_in_ten FROM embeddings WHERE vec_id % 50 = 0")
+def forest_recall(spark, sf):
+    """Neighbours out of a forest with small leaves, against all distances of every fiftieth vector."""
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"), F.lit(1).alias("copies"))
+    found = forest.neighbours(e, 3, leaf=64, trees=24).filter("id % 50 = 0").select("id", "distance", "place")
+    asked = F.broadcast(e.filter("id % 50 = 0").select(F.col("id").alias("a"), F.col("v").alias("w")))     # a stated query set
+    gap = F.sqrt(F.aggregate(F.zip_with("v", "w", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+    every = e.join(asked, F.col("id") != F.col("a")).select("a", "id", gap.alias("d"))
+    third = ordered.first_per_key(every, ["a"], [F.asc("d"), F.asc("id")], 3, rank="place").filter("place = 3").select(F.col("a").alias("id"), "d")
+    out = found.join(third, "id", "right").groupBy("id").agg(F.count(F.when(F.col("distance") <= F.col("d") * (1 + 1e-9), 1)).alias("hits"))
+    return out.agg(F.count("*").alias("searched"), (F.sum("hits") >= 0.9 * 3 * F.count("*")).alias("found_nine_in_ten"))
+
+
+@query("""WITH s AS (SELECT s_suppkey AS id, md5('42|' || s_suppkey) AS h FROM supplier WHERE s_suppkey BETWEEN 1 AND 3), n AS (SELECT count(*) - 6 AS need FROM supplier),
+t AS (SELECT id, need // 3 + CASE WHEN row_number() OVER (ORDER BY h) <= need % 3 THEN 1 ELSE 0 END AS times, CASE id WHEN 2 THEN 1 ELSE 2 END AS near FROM s, n),
+j AS (SELECT id, near, unnest(range(1, times + 1)) AS j FROM t), g AS (SELECT id, near, ('0x' || substr(md5('42|' || id || '|' || j), 20, 13))::BIGINT / 4503599627370496.0::DOUBLE AS g FROM j)
+SELECT 1 AS y, round(id + (near - id) * g, 9) AS a, round(2 * id + (2 * near - 2 * id) * g, 9) AS b FROM g""")
+def smote_values(spark, sf):
+    """Three rows on a line: the nearest of each is known, place and number of new rows come from digests."""
+    s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.when(F.col("s_suppkey").between(1, 3), 1).otherwise(0).alias("y"),
+                                            F.array(F.col("s_suppkey").cast("double"), F.col("s_suppkey") * 2.0).alias("v"))
+    out = smote.oversample(s, "y", "id", "v", k=1)
+    return out.select("y", F.round(F.col("v")[0], 9).alias("a"), F.round(F.col("v")[1], 9).alias("b"))

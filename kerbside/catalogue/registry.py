@@ -3,7 +3,7 @@
 from importlib import import_module
 
 FLAGSHIP = "accident_table"
-MODULES = ["accident", "cleaning", "joining", "profiling", "evaluation", "clusters", "learning", "checked"]
+MODULES = ["accident", "cleaning", "joining", "profiling", "evaluation", "clusters", "learning", "checked", "shares", "streams", "files"]
 
 
 def _collect(attribute: str) -> dict:

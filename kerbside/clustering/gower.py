@@ -17,6 +17,8 @@ from kerbside.operators.ordered import running_sums
 from kerbside.operators.profile import long_form
 from kerbside.session import match_null_safe
 
+EXACT = "decimal(28,6)"
+
 
 def ranges(df: DataFrame, numeric: list[str]) -> dict[str, float]:
     row = df.agg(*[(F.max(F.col(c).cast("double")) - F.min(F.col(c).cast("double"))).alias(c)
@@ -43,46 +45,56 @@ def to_groups(df: DataFrame, key: str, group: str, groups: list, numeric: list[s
     ``groups`` lists the group values.  Inside its own group a row is not compared with
     itself.  A number's mean distance is over the group's known values; columns whose
     number the row or the whole group lacks take no part in the row's mean.  Every row
-    stays; its distance is NULL if no column takes part.
+    stays; its distance is NULL if no column takes part.  Sums of whole and decimal numbers
+    (to six places) are exact, and divided once.
     """
     span = ranges(df, numeric)
-    sizes = {r["g"]: r["n"] for r in df.groupBy(F.col(group).alias("g")).agg(
-        F.count(F.lit(1)).alias("n")).filter(F.col("g").isin(groups)).collect()}
-    size = [float(sizes.get(g, 0)) for g in groups]
+    exact = all(k.startswith("decimal") or k in ("tinyint", "smallint", "int", "bigint") for c, k in df.dtypes if c in numeric)
+    kind = EXACT if exact else "double"
     k = range(len(groups))
-    hits = [F.sum(F.when(F.col(group) == g, 1.0).otherwise(0.0)).alias(f"n{i}") for i, g in enumerate(groups)]
+    hits = [F.sum(F.when(F.col(group) == g, 1).otherwise(0)).alias(f"n{i}") for i, g in enumerate(groups)]
+    sizes = df.filter(F.col(group).isin(groups)).groupBy().agg(*hits).first()
+    size = [sizes[i] or 0 for i in k]
 
     parts = []
     if numeric:
-        cells = long_form(df, numeric, "double", [key, group]).filter(F.col("value").isNotNull())
+        cells = long_form(df, numeric, kind, [key, group]).filter(F.col("value").isNotNull())
         per = cells.groupBy("column", "value").agg(*hits)
-        per = per.withColumns({f"s{i}": F.col(f"n{i}") * F.col("value") for i in k})
+        per = per.withColumns({f"s{i}": (F.col(f"n{i}") * F.col("value")).cast("decimal(38,6)" if exact else "double") for i in k})
         run = running_sums(per, ["column"], "value", [f"{x}{i}" for x in "ns" for i in k])
         totals = F.broadcast(per.groupBy("column").agg(*[F.sum(f"s{i}").alias(f"t{i}") for i in k],
                                                        *[F.sum(f"n{i}").alias(f"k{i}") for i in k]))
         scale = F.element_at(F.create_map(*[F.lit(x) for c in numeric for x in (c, span[c] or 1.0)]), F.col("column"))
-        sums = run.join(totals, "column").select("column", "value", *[
-            ((F.col("value") * (2 * F.col(f"n{i}_cum") - F.col(f"k{i}")) + F.col(f"t{i}")
-              - 2 * F.col(f"s{i}_cum")) / scale).alias(f"d{i}") for i in k], *[f"k{i}" for i in k])
-        parts.append(cells.join(sums, ["column", "value"]).select(key, *_means(groups, group)))
+        sums = run.join(totals, "column").select("column", "value", scale.alias("scale"), *[
+            (F.col("value") * (2 * F.col(f"n{i}_cum") - F.col(f"k{i}")) + F.col(f"t{i}") - 2 * F.col(f"s{i}_cum")
+             ).cast("double").alias(f"d{i}") for i in k], *[f"k{i}" for i in k])
+        parts.append(cells.join(sums, ["column", "value"]).select(key, "column", *_means(groups, group)))
     if categorical:
         cells = long_form(df, categorical, "string", [key, group])
         per = cells.groupBy("column", "value").agg(*hits)
-        misses = per.select("column", "value", *[(size[i] - F.col(f"n{i}")).alias(f"d{i}") for i in k],
+        misses = per.select("column", "value", F.lit(1.0).alias("scale"), *[(F.lit(size[i]) - F.col(f"n{i}")).alias(f"d{i}") for i in k],
                             *[F.lit(size[i]).alias(f"k{i}") for i in k])
-        parts.append(match_null_safe(cells, misses, ["column", "value"]).select(key, *_means(groups, group)))
+        parts.append(match_null_safe(cells, misses, ["column", "value"]).select(key, "column", *_means(groups, group)))
+    # one value per column and group, added in the order of the columns: the sum of doubles is always the same
+    columns = [*numeric, *categorical]
     summed = reduce(lambda a, b: a.unionByName(b), parts).groupBy(key).agg(
-        *[F.avg(f"d{i}").alias(f"d{i}") for i in k])
+        *[F.max(F.when(F.col("column") == c, F.col(f"d{i}"))).alias(f"d{i}_{j}") for i in k for j, c in enumerate(columns)])
     joined = df.select(key, F.col(group).alias("own")).join(summed, key, "left")
-    cells = F.array(*[F.struct(F.lit(g).alias("group"), F.col(f"d{i}").alias("distance"))
+    cells = F.array(*[F.struct(F.lit(g).alias("group"), _mean([F.col(f"d{i}_{j}") for j in range(len(columns))]).alias("distance"))
                       for i, g in enumerate(groups)])
     return joined.select(key, "own", F.inline(cells))
 
 
+def _mean(parts: list[Column]) -> Column:
+    """Mean of the known values, added from left to right; NULL without any."""
+    known = reduce(lambda a, b: a + b, [F.when(p.isNull(), 0.0).otherwise(1.0) for p in parts])
+    return reduce(lambda a, b: a + b, [F.coalesce(p, F.lit(0.0)) for p in parts]) / F.nullif(known, F.lit(0.0))
+
+
 def _means(groups: list, group: str) -> list[Column]:
     """Sum over a group's known values to their mean, the row itself left out; NULL if the group knows none."""
-    return [F.when(F.col(f"k{i}") > 0, F.col(f"d{i}") / F.greatest(F.lit(1.0), F.col(f"k{i}") - F.when(
-        F.col(group) == g, 1.0).otherwise(0.0))).alias(f"d{i}") for i, g in enumerate(groups)]
+    return [F.when(F.col(f"k{i}") > 0, F.col(f"d{i}") / (F.col("scale") * F.greatest(F.lit(1), F.col(f"k{i}") - F.when(
+        F.col(group) == g, 1).otherwise(0)))).alias(f"d{i}") for i, g in enumerate(groups)]
 
 
 def group_linkage(distances: DataFrame) -> DataFrame:

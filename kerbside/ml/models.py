@@ -13,16 +13,20 @@ from functools import reduce
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
                                        RandomForestClassifier)
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions import columns as fc
+from kerbside.ml import target_stats
 from kerbside.ml.prepare import feature_names
 from kerbside.operators.ordered import undersample
 from kerbside.operators.profile import with_class_weight
 
+WITH_SHARES = "_features_with_shares"
+
 
 @dataclass
 class SeverityModel:
@@ -30,15 +34,26 @@ class SeverityModel:
     pipeline: PipelineModel
     kind: str
     classes: list[int]
+    encoder: PipelineModel | None = None       # stages of the model's own, before its parts
 
     def metadata(self) -> dict:
         return {"kind": self.kind, "classes": self.classes}
 
+    def stages(self) -> list:
+        """All stages in order, to be saved as one pipeline."""
+        return [*(self.encoder.stages if self.encoder else []), *self.pipeline.stages]
+
+    @staticmethod
+    def of_stages(stages: list, kind: str, classes: list[int], parts: int | None = None) -> SeverityModel:
+        own = len(stages) - (len(stages) if parts is None else parts)
+        return SeverityModel(PipelineModel(stages[own:]), kind, classes, PipelineModel(stages[:own]) if own else None)
+
     def _part(self, i: int):
         return vector_to_array(f"_prob{i}")
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out = self.pipeline.transform(df)
+        own = self.encoder.transform(df) if self.encoder else df
+        out = self.pipeline.transform(own)
         n = len(self.pipeline.stages)
         if self.kind == "decision":
             values = F.array(*[F.col(f"_pred{i}") for i in range(n)])
@@ -55,11 +70,13 @@ class SeverityModel:
         classes = F.array(*[F.lit(c) for c in self.classes])
         return (out.withColumn(column, values)
                 .withColumn("prediction", F.element_at(classes, fc.arg_max(F.col(column)) + 1))
-                .drop(*helpers))
+                .drop(*helpers, *[c for c in own.columns if c not in df.columns]))
 
     def importance(self, encoded: DataFrame, vector: str = "features", top: int = 40) -> DataFrame:
         """(feature, importance): mean over the parts; linear parts sum |coefficient| over
         the classes and zeros are left out."""
+        if self.encoder:
+            encoded, vector = self.encoder.transform(encoded), WITH_SHARES
         names = feature_names(encoded, vector)
         stages = self.pipeline.stages
         if self.kind == "decision":
@@ -142,11 +159,25 @@ def _boosted(rows: DataFrame, label: str, i: int, rounds: int, depth: int, step:
 
 def boosted(df: DataFrame, target: str, classes: list[int], rounds: int = 100, depth: int = 6,
             step: float = 0.1, bins: int = 64, min_leaf: int = 1, seed: int = 42,
-            vector: str = "features") -> SeverityModel:
-    """Boosted trees per class against the rest, balanced, normalised over the classes."""
+            vector: str = "features", categories: list[str] = (), keys: list[str] = (),
+            prior: float = target_stats.PRIOR) -> SeverityModel:
+    """Boosted trees per class against the rest, balanced, normalised over the classes.
+
+    ``categories`` are columns of ``df`` taken as they are: the trees see ordered target statistics
+    of them (``keys`` name a row for the order), a report the shares of all training rows.
+    """
+    encoder = None
+    if categories:
+        shares = [n for c in categories for n in target_stats.names(c, classes)]
+        # the length of a vector without metadata is taken from a row, which must be whole
+        known = "num_attrs" in df.schema[vector].metadata.get("ml_attr", {})
+        joint = VectorAssembler(inputCols=[vector, *shares], outputCol=WITH_SHARES, handleInvalid="keep" if known else "error")
+        encoder = PipelineModel([*target_stats.share_stages(df, list(categories), target, classes, prior), joint])
+        df = joint.transform(target_stats.ordered_shares(df, list(categories), target, classes, list(keys), seed, prior))
+        vector = WITH_SHARES
     parts = [_boosted(df.withColumn("_y", F.when(F.col(target) == c, 1.0).otherwise(0.0)), "_y", i, rounds,
                       depth, step, bins, min_leaf, seed, vector) for i, c in enumerate(classes)]
-    return SeverityModel(PipelineModel(parts), "one_vs_rest", classes)
+    return SeverityModel(PipelineModel(parts), "one_vs_rest", classes, encoder)
 
 
 def two_stage(df: DataFrame, target: str, rounds: int = 100, depth: int = 6, step: float = 0.1,

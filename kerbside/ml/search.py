@@ -8,13 +8,13 @@ import random
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.ml.models import SeverityModel
 from kerbside.operators.evaluate import class_report
 from kerbside.operators.ordered import stratified_folds
+from kerbside.session import durable
 
 
 def draw(space: dict, n: int, seed: int = 42) -> list[dict]:
@@ -39,24 +39,19 @@ def macro_f1(scored: DataFrame, target: str, classes: list[int]) -> float:
 
 def search(df: DataFrame, target: str, classes: list[int], keys: list[str],
            fit: Callable[..., SeverityModel], points: list[dict], k: int = 3, seed: int = 42,
-           parallelism: int = 1) -> DataFrame:
+           parallelism: int | None = None) -> DataFrame:
     """(rank, params, macro_f1, fold scores), best first.
 
-    Folds are cached once; fits of different points may run at the same time.
+    Folds are written once; ``parallelism`` fits run at the same time, by default the folds of a point.
     """
-    folded = stratified_folds(df, target, keys, k, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = durable(stratified_folds(df, target, keys, k, seed))
 
-    def score(params):
-        out = []
-        for f in range(k):
-            model = fit(folded.filter(F.col("fold") != f), target, classes, **params)
-            out.append(macro_f1(model.transform(folded.filter(F.col("fold") == f)), target, classes))
-        return out
-    try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            scores = list(pool.map(score, points))
-    finally:
-        folded.unpersist()
+    def score(params, f):
+        model = fit(folded.filter(F.col("fold") != f), target, classes, **params)
+        return macro_f1(model.transform(folded.filter(F.col("fold") == f)), target, classes)
+    with ThreadPoolExecutor(parallelism or k) as pool:
+        flat = list(pool.map(lambda job: score(*job), [(p, f) for p in points for f in range(k)]))
+    scores = [flat[i * k:(i + 1) * k] for i in range(len(points))]
     rows = sorted(((json.dumps(p, sort_keys=True), sum(s) / k, s) for p, s in zip(points, scores)),
                   key=lambda r: (-r[1], r[0]))
     return df.sparkSession.createDataFrame(

@@ -1,8 +1,9 @@
-"""Synthetic minority rows (Chawla et al. 2002) on exact nearest neighbours.
+"""Synthetic minority rows (Chawla et al. 2002) on nearest neighbours.
 
-Neighbours are found without listing pairs.  Equal vectors collapse to one row with a
-number of copies, so a mass of copies costs nothing.  The distinct vectors are spread over
-cells around pivots and packed into chunks of bounded size; a first pass inside each chunk
+Equal vectors collapse to one row with a number of copies, so a mass of copies costs nothing.
+Oversampling looks for neighbours in a forest of random projections (``ml.forest``: work in
+proportion to the rows, exact for a class that fits into one leaf).  ``neighbours`` here is the
+exact search for tables that bear it: the distinct vectors are spread over cells around pivots and packed into chunks of bounded size; a first pass inside each chunk
 bounds how far its neighbours can be, and only chunks whose cell can reach that near (by
 the triangle inequality) are compared, block by block, keeping k candidates per row.
 """
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from kerbside.functions import columns as fc
+from kerbside.ml import forest
 from kerbside.operators.ordered import first_by_hash, first_per_key
 from kerbside.session import durable
 
@@ -122,7 +124,7 @@ def _class_rows(rows: DataFrame, target: str, key: str, vector: str, n: int, nee
     distinct = rows.groupBy(target, "v").agg(F.min(key).alias("id"), F.count(F.lit(1)).alias("copies"))
     base = durable(distinct.join(extra, "v", "left").withColumn(
         "times", F.col("copies") * (need // n) + F.coalesce("extra", F.lit(0))))
-    near = neighbours(base.select("id", "v", "copies"), k, seed).groupBy("id").agg(
+    near = forest.neighbours(base.select("id", "v", "copies"), k, seed).groupBy("id").agg(
         F.sort_array(F.collect_list(F.struct("place", "near", "near_copies"))).alias("near"))      # k entries
     # Copies first, then neighbours as often as they have copies, k in all.
     selves = F.array_repeat(F.col("id"), F.least(F.col("copies") - 1, F.lit(k)).cast("int"))

@@ -259,3 +259,26 @@ def evaluate_model(scored: DataFrame, train: DataFrame, truth: str, labels: list
     return out
 
 
+def as_long(parts: dict[str, DataFrame]) -> DataFrame:
+    """The tables of ``evaluate_model`` as one: (part, row, col, value).
+
+    Curve points are named by the number of rows predicted at them.
+    """
+    def cells(part: str, df: DataFrame, row: Column, col: Column | None, values: list[str]) -> DataFrame:
+        made = F.array(*[F.struct((F.lit(v) if col is None else col.cast("string")).alias("col"), F.col(v).cast("double").alias("value"))
+                         for v in values])
+        return df.select(F.lit(part).alias("part"), row.cast("string").alias("row"), F.inline(made))
+
+    out = []
+    for part, df in parts.items():
+        if part in ("baseline", "scores"):
+            out.append(cells(part, df, F.lit("all"), None, ["accuracy", "macro_f1", "weighted_f1", "kappa"]))
+        elif part == "report":
+            out.append(cells(part, df, F.col("label"), None, ["precision", "recall", "f1", "support"]))
+        elif part == "confusion":
+            out += [cells(f"confusion_{v}", df, F.col("truth"), F.col("pred"), [v]) for v in ("n", "share_of_truth", "share_of_pred")]
+        elif part == "pr_points":
+            out += [cells(v, df, F.col("class"), F.col("predicted"), [v]) for v in ("precision", "recall")]
+        else:
+            out.append(cells(part, df, F.col("class"), None, ["average_precision"]))
+    return reduce(lambda a, b: a.unionByName(b), out)

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kerbside.operators.ordered import best_row, first_per_key
 from kerbside.session import pin_small
 
+SLOTS = 4096        # shares of a group that may lie in different tasks
 
 def star(fact: DataFrame, dimensions: list[DataFrame], key: str | list[str]) -> DataFrame:
     """Left joins on one key.
@@ -29,29 +31,72 @@ def best_location(df: DataFrame, key: list[str], score: Column, has_speed: Colum
                                      last.desc()])
 
 
+def slot(member: str) -> Column:
+    """Which of SLOTS shares of its group a row belongs to; all rows of a member share one."""
+    return F.pmod(F.xxhash64(member), F.lit(SLOTS)).cast("int")
+
+
+def placed(df: DataFrame, group: str, member: str) -> DataFrame:
+    """``df`` exchanged once by (group, ``_slot``).
+
+    Windows and joins on (group, ``_slot``, member) then need no exchange of their own, and a
+    hot group is spread over SLOTS tasks by its members. Joins make use of it with
+    ``session.plan_settings``; without, Spark exchanges again.
+    """
+    return df.withColumn("_slot", slot(member)).repartition(group, "_slot")
+
+
+def ranked_members(rows: DataFrame, group: str, member: str, score: str, position: Column) -> DataFrame:
+    """Placed rows of which a member may have several: those that are its last (``_last``) or its best (``_best``)."""
+    key = W.partitionBy(group, "_slot", member)
+    last = F.row_number().over(key.orderBy(position.desc())) == 1
+    best = F.row_number().over(key.orderBy(F.col(score).desc_nulls_last(), position.desc())) == 1
+    return rows.withColumns({"_last": last, "_best": best}).filter("_last OR _best")
+
+
+def group_summary(ranked: DataFrame, group: str, member: str, score: str, position: Column, mirrored: list[str],
+                  counts: dict[str, Column] | None = None) -> DataFrame:
+    """Per group: ``_top``, the best rows of its two best members (the last position among equals), and
+    sums over the last rows of its members.
+
+    Each slot of a group sends two rows at most, with its sums on the first, so a hot group is
+    reduced where it lies before it is exchanged.
+    """
+    counts = counts or {}
+    order = [F.col("_best").desc(), F.col(score).desc_nulls_last(), F.col("_at").desc()]
+    tagged = ranked.withColumns({"_at": position} | {n: F.when(F.col("_last"), c) for n, c in counts.items()})
+    inside = W.partitionBy(group, "_slot")
+    local = tagged.select(group, "_best", score, "_at", F.struct(*[F.col(c) for c in mirrored], F.col(member).alias("_id")).alias("_row"),
+                          F.row_number().over(inside.orderBy(*order)).alias("_place"),
+                          *[F.sum(n).over(inside).alias(n) for n in counts]).filter("_place <= 2")
+    sums = [F.when(F.col("_place") == 1, F.col(n)).alias(n) for n in counts]
+    among = local.select(group, F.when(F.col("_best"), F.col("_row")).alias("_row"), *sums,
+                         F.row_number().over(W.partitionBy(group).orderBy(*order)).alias("_place"))
+    first, second = (F.max(F.when(F.col("_place") == k, F.col("_row"))) for k in (1, 2))
+    return among.groupBy(group).agg(F.array(first, second).alias("_top"), *[F.sum(n).cast("bigint").alias(n) for n in counts])
+
+
+def opponent(member: str) -> Column:
+    """The best other member of a row's group, by its ``_top``: the runner-up if the best is the row's own."""
+    return F.when(F.get("_top", F.lit(0))["_id"].eqNullSafe(F.col(member)), F.get("_top", F.lit(1))).otherwise(
+        F.get("_top", F.lit(0)))
+
+
 def with_opponent(df: DataFrame, group: str, member: str, score: str, position: Column,
                   mirrored: list[str], suffix: str = "_other") -> DataFrame:
     """One row per (group, member) with the columns of the highest-scoring other member.
 
-    The other of a member is the group's top member, or the runner-up if the top is the
-    member itself: two candidates per group are enough, so nothing is paired up inside
-    a group.  Equal scores go to the last position.  A group with one member gives NULL.
+    Two candidates per group are enough, so nothing is paired up inside a group. Equal scores
+    go to the last position. A group with one member gives NULL.
     """
-    order = [F.col(score).desc_nulls_last(), F.col("_pos").desc()]
-    tagged = df.withColumn("_pos", position)
-    own = first_per_key(tagged, [group, member], [F.col("_pos").desc()]).drop("_pos")
-    candidates = first_per_key(tagged.select(group, member, score, "_pos", *[
-        c for c in mirrored if c not in (group, member, score)]), [group, member], order)
-    top = first_per_key(candidates, [group], order, n=2, rank="_place")
-    picked = F.struct(*[F.col(c) for c in mirrored], F.col(member).alias("_id"))
-    pair = top.groupBy(F.col(group).alias("_group")).agg(
-        F.max(F.when(F.col("_place") == 1, picked)).alias("_first"),
-        F.max(F.when(F.col("_place") == 2, picked)).alias("_second"))
-    joined = own.join(pair, F.col(group) == F.col("_group"), "left")
-    other = F.when(F.col("_first._id").eqNullSafe(F.col(member)), F.col("_second")).otherwise(
-        F.col("_first"))
-    return (joined.withColumn("_other", other)
-            .select(*own.columns, *[F.col(f"_other.{c}").alias(c + suffix) for c in mirrored]))
+    ranked = ranked_members(placed(df.withColumn("_pos", position), group, member), group, member, score, F.col("_pos"))
+    # all columns of the data take part in the order, so that both uses read one and the same exchange
+    whole = F.struct("_pos", *[c for c in df.columns if c not in (group, member, score) and c[0] != "_"])
+    top = group_summary(ranked, group, member, score, whole, mirrored).withColumnRenamed(group, "_group")
+    own = ranked.filter("_last").drop("_pos", "_slot", "_last", "_best")
+    joined = own.join(top, F.col(group) == F.col("_group"), "left")
+    return (joined.withColumn("_other", opponent(member))
+            .select(*df.columns, *[F.col(f"_other.{c}").alias(c + suffix) for c in mirrored]))
 
 
 def left_null_safe(left: DataFrame, right: DataFrame, keys: list[str],

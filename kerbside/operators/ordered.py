@@ -13,9 +13,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kerbside.functions import columns as fc
-from kerbside.session import match_null_safe, pin_small
+from kerbside.session import durable, match_null_safe, pin_small
 
-RANGE_ROWS = 20_000     # rows of one group that a digest range should hold at most
+RANGE_ROWS = 20_000     # rows of one group that a range of digests or values should hold at most
+RANGE_DIGITS = 4        # hex digits of a digest that cut a choice into ranges: 65,536
+PREFIX_BITS = 12        # bits by which a range of values is narrowed at a time: sign and exponent first
 
 
 # ---- the shared helper ------------------------------------------------------------
@@ -108,18 +110,25 @@ def hash_sample(df: DataFrame, n: int, keys: list[str], seed=42) -> DataFrame:
             .drop("_h"))
 
 
+def range_counts(df: DataFrame, by: str, keys: list[str], seed=42, digits: int = RANGE_DIGITS) -> DataFrame:
+    """(by, _bucket, _n): rows of each group per digest range; the one pass that a choice by digest needs."""
+    return df.groupBy(by, hash_bucket_of(keys, seed, digits).alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def hash_bucket_of(keys: list[str], seed, digits: int) -> Column:
+    return F.substring(fc.shuffle_key(keys, seed), 1, digits)
+
+
 def first_by_hash(df: DataFrame, by: str, keys: list[str], need: DataFrame, seed=42,
-                  digits: int | None = None) -> DataFrame:
+                  digits: int = RANGE_DIGITS, per: DataFrame | None = None) -> DataFrame:
     """Per group the ``need`` rows with the smallest digests, exactly.
 
     ``need`` has one row per group: (by, need).  Only the one digest range per group in
-    which the cut falls is ranked; all other rows are kept or left by comparison.  Ranges
-    are as many as the rows ask for (``digits`` None: rows are counted).
+    which the cut falls is ranked; all other rows are kept or left by comparison.  ``per``
+    are the ``range_counts`` of the same rows, if the caller has them already.
     """
-    digits = hash_digits(df.count()) if digits is None else digits
-    tagged = df.withColumn("_h", fc.shuffle_key(keys, seed)).withColumn(
-        "_bucket", hash_bucket("_h", digits))
-    per = tagged.groupBy(by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    per = range_counts(df, by, keys, seed, digits) if per is None else per
+    tagged = df.withColumn("_h", fc.shuffle_key(keys, seed)).withColumn("_bucket", hash_bucket("_h", digits))
     w = W.partitionBy(by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0)
     need = need.withColumnRenamed(by, "_by")
     cut = (per.withColumns({"_upto": F.sum("_n").over(w),
@@ -138,11 +147,16 @@ def first_by_hash(df: DataFrame, by: str, keys: list[str], need: DataFrame, seed
 
 
 def undersample(df: DataFrame, target: str, keys: list[str], seed=42) -> DataFrame:
-    """As many rows of every class as the rarest class has (exact)."""
-    counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("n"))
+    """As many rows of every class as the rarest class has (exact).
+
+    One pass counts the rows of each class by digest range: the class sizes, the rarest and
+    the range with the cut all come from that small table.
+    """
+    per = durable(range_counts(df, target, keys, seed))
+    counts = per.groupBy(target).agg(F.sum("_n").alias("n"))
     smallest = counts.agg(F.min("n").alias("m")).scalar()
     need = counts.select(target, smallest.alias("need"))
-    return first_by_hash(df, target, keys, need, seed)
+    return first_by_hash(df, target, keys, need, seed, per=per)
 
 
 def stratified_folds(df: DataFrame, target: str, keys: list[str], k: int = 3, seed=42,
@@ -174,45 +188,69 @@ def random_draw_impute(df: DataFrame, column: str, keys: list[str], seed=42) ->
 
 
 # ---- running sums over an ordered value --------------------------------------------
-def split_bits(df: DataFrame) -> int:
-    """Bits of the number of value ranges: twice the shuffle partitions, 256 to 4096."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(12, max(8, (2 * partitions - 1).bit_length()))
+def image(value: Column) -> Column:
+    """The bits of a double as a bigint in the order of the doubles; both zeros are 0, NaN is the last.
 
-
-def value_splits(df: DataFrame, by: list[str], value: str, bits: int) -> DataFrame:
-    """Approximate split points of ``value`` per group, as an array (mergeable sketch)."""
-    parts = 2 ** bits
-    probs = F.array(*[F.lit(i / parts) for i in range(1, parts)])
-    return df.groupBy(*by).agg(F.array_distinct(
-        F.percentile_approx(value, probs, 4 * parts)).alias("_splits"))
-
-
-def with_value_bucket(df: DataFrame, by: list[str], value: str, bits: int | None = None) -> DataFrame:
-    """Add ``_bucket``: how many split points of the group lie below ``value``.
-
-    Found by halving, one comparison per bit.  Equal values always share a bucket, so a
-    result never depends on where the approximate split points fall.
+    Exponent and fraction are taken apart with powers of two, which are exact.
+    """
+    x = value.cast("double")
+    a = F.abs(x)
+    guess = F.greatest(F.least(F.floor(F.log2(a)), F.lit(1023)), F.lit(-1022))      # the logarithm may be one off
+    ratio = a / F.pow(F.lit(2.0), guess)
+    exponent = F.when(ratio >= 2, guess + 1).when((ratio < 1) & (guess > -1022), guess - 1).otherwise(guess)
+    fraction = a / F.pow(F.lit(2.0), exponent)
+    whole = 2.0 ** 52
+    bits = F.when(fraction >= 1, (exponent + 1023) * F.lit(1 << 52) + ((fraction - 1) * whole).cast("bigint")).otherwise(
+        (fraction * whole).cast("bigint"))
+    bits = F.when(a == 0, F.lit(0)).when(a == float("inf"), F.lit(2047 << 52)).otherwise(bits)
+    return F.when(F.isnan(x), F.lit((1 << 63) - 1)).when(x < 0, -bits).otherwise(bits)
+
+
+def with_value_bucket(df: DataFrame, by: list[str], value: str, bits: int | None = None,
+                      rows: int | None = None) -> DataFrame:
+    """Add ``_bucket``, which never falls as the value grows: at most ``rows`` rows of a group, or one value.
+
+    Rows are counted by the leading ``bits`` bits of the value's image; only prefixes that hold more
+    than ``rows`` rows are counted on by the next bits. Equal values share a bucket, and however
+    narrow the range most rows lie in, no bucket is large.
     """
-    bits = split_bits(df) if bits is None else bits
-    splits = pin_small(value_splits(df, by, value, bits), row_bytes=8 * 2 ** bits + 64)
-    out = match_null_safe(df, splits, by).withColumn("_bucket", F.lit(0))
-    for bit in reversed(range(bits)):
-        step = 2 ** bit
-        below = F.get("_splits", F.col("_bucket") + (step - 1)) < F.col(value)
-        out = out.withColumn("_bucket", F.col("_bucket") + F.when(below, step).otherwise(0))
-    return out.drop("_splits")
+    bits = PREFIX_BITS if bits is None else bits
+    rows = RANGE_ROWS if rows is None else rows
+    tagged = df.withColumn("_image", image(F.col(value)))
+    shift, inside, refined = 64 - bits, tagged, []
+    while shift > 0:
+        prefix = F.shiftright("_image", shift)
+        large = durable(inside.groupBy(*by, prefix.alias("_prefix")).agg(F.count(F.lit(1)).alias("_n"))
+                        .filter(F.col("_n") > rows).drop("_n"))
+        if not large.limit(1).count():
+            break
+        large = pin_small(large.withColumn("_large", F.lit(True)))
+        refined.append((shift, large))
+        inside = match_null_safe(tagged.withColumn("_prefix", prefix), large, [*by, "_prefix"]).drop("_prefix", "_large")
+        shift = max(0, shift - bits)
+    out = tagged.withColumn("_bucket", _first_of("_image", 64 - bits))
+    for at, large in refined:
+        # a row inside a large prefix has the bucket of its next bits
+        marked = match_null_safe(out.withColumn("_prefix", F.shiftright("_image", at)), large, [*by, "_prefix"], "left")
+        out = marked.withColumn("_bucket", F.when(F.col("_large"), _first_of("_image", max(0, at - bits))).otherwise(
+            F.col("_bucket"))).drop("_prefix", "_large")
+    return out.drop("_image")
+
+
+def _first_of(column: str, shift: int) -> Column:
+    """The smallest image with the same leading bits."""
+    return F.shiftleft(F.shiftright(column, shift), shift)
 
 
 def running_sums(df: DataFrame, by: list[str], value: str, sums: list[str],
                  descending: bool = False, bits: int | None = None) -> DataFrame:
-    """Running sums in order of a value that is distinct inside each group.
+    """Running sums in order of a value that is distinct inside each group (``bits``: see with_value_bucket).
 
     Adds ``<name>_cum`` for each summed column; the current row is included.
     """
     tagged = with_value_bucket(df, by, value, bits)
     if descending:
-        tagged = tagged.withColumn("_bucket", -F.col("_bucket"))
+        tagged = tagged.withColumn("_bucket", F.bitwise_not("_bucket"))      # minus one minus it: never overflows
     offsets = pin_small(range_offsets(tagged, by, "_bucket", {s: F.sum(s) for s in sums}))
     order = F.col(value).desc() if descending else F.col(value).asc()
     w = W.partitionBy(*by, "_bucket").orderBy(order).rowsBetween(W.unboundedPreceding, 0)

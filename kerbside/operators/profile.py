@@ -14,8 +14,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kerbside.operators.ordered import range_offsets, with_value_bucket
-from kerbside.session import match_null_safe, pin_small
+from kerbside.session import durable, match_null_safe, pin_small
 
+QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
@@ -185,16 +186,23 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                     by: list[str] | None = None, bits: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation, long: (by..., column, prob, quantile).
 
-    Selection instead of sorting: a mergeable sketch cuts the values into ranges, counts
-    per range tell in which range each wanted rank lies, and only those ranges are
-    counted value by value.  Memory per task stays bounded for any number of rows.
+    Selection instead of sorting: values are counted once, their images are cut by leading
+    bits until no range holds many values, counts per range tell in which range each wanted
+    rank lies, and only those ranges are read value by value.  Memory per task stays bounded
+    for any number of rows and any shape of their distribution.
     """
     by = by or []
-    keys = [*by, "column"]
-    cells = long_form(df, columns, "double", by).filter(
-        F.col("value").isNotNull() & ~F.isnan("value"))
-    tagged = with_value_bucket(cells, keys, "value", bits)
-    ranges = pin_small(range_offsets(tagged, keys, "_bucket", {"n": F.count(F.lit(1))}, keep=True))
+    cells = long_form(df, columns, "double", by).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    counts = durable(cells.groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("_c")))
+    return counted_quantiles(counts, probs, by, bits)
+
+
+def counted_quantiles(counts: DataFrame, probs: list[float], by: list[str] | None = None,
+                      bits: int | None = None) -> DataFrame:
+    """``exact_quantiles`` of a table (by..., column, value, _c) that has every value once; it is read a few times."""
+    keys = [*(by or []), "column"]
+    tagged = with_value_bucket(counts, keys, "value", bits)
+    ranges = pin_small(range_offsets(tagged, keys, "_bucket", {"n": F.sum("_c")}, keep=True))
     totals = ranges.groupBy(*keys).agg(F.sum("n").alias("_total"))
     wanted = totals.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
     rank = (F.col("_total") - 1) * F.col("prob")
@@ -205,9 +213,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
         (F.col("_rank") >= F.col("n_before")) & (F.col("_rank") < F.col("n_before") + F.col("n")))
     per_range = located.groupBy(*keys, "_bucket", "n_before").agg(F.collect_list(
         F.struct("prob", "_rank", "_low", "_weight")).alias("_wanted"))   # two ranks per prob
-    inside = match_null_safe(tagged, pin_small(per_range), [*keys, "_bucket"])
-    per_value = inside.groupBy(*keys, "_bucket", "n_before", "_wanted", "value").agg(
-        F.count(F.lit(1)).alias("_c"))
+    per_value = match_null_safe(tagged, pin_small(per_range), [*keys, "_bucket"])
     w = W.partitionBy(*keys, "_bucket").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
     hits = (per_value.withColumn("_upto", F.col("n_before") + F.sum("_c").over(w))
             .select(*keys, "value", "_upto", "_c", F.inline("_wanted"))
@@ -223,7 +229,10 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
 def quantiles_wide(df: DataFrame, columns: list[str], probs: dict[str, float],
                    by: list[str] | None = None) -> DataFrame:
     """One row per (by..., column), one column per named quantile."""
-    long = exact_quantiles(df, columns, list(probs.values()), by)
+    return _wide(exact_quantiles(df, columns, list(probs.values()), by), probs, by)
+
+
+def _wide(long: DataFrame, probs: dict[str, float], by: list[str] | None = None) -> DataFrame:
     return long.groupBy(*(by or []), "column").agg(*[
         F.max(F.when(F.col("prob") == float(p), F.col("quantile"))).alias(n)
         for n, p in probs.items()])
@@ -232,14 +241,18 @@ def quantiles_wide(df: DataFrame, columns: list[str], probs: dict[str, float],
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """count, mean, std, min, exact quartiles, max per numeric column; NaN counts as missing."""
     names = columns or numeric_columns(df)
+    quart = quantiles_wide(df, names, QUARTILES)
+    return (_moments(df, names).join(quart, "column", "left")
+            .select("column", "n", "mean", "std", "min", "q25", "q50", "q75", "max"))
+
+
+def _moments(df: DataFrame, names: list[str]) -> DataFrame:
+    """(column, n, mean, std, min, max) in one pass; NaN counts as missing."""
     df = without_nan(df, names)
-    one = df.agg(F.array(*[F.struct(
+    return df.agg(F.array(*[F.struct(
         F.lit(c).alias("column"), F.count(c).alias("n"), F.avg(c).alias("mean"),
         F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
         F.max(c).cast("double").alias("max")) for c in names]).alias("_c")).select(F.inline("_c"))
-    quart = quantiles_wide(df, names, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
-    return (one.join(quart, "column", "left")
-            .select("column", "n", "mean", "std", "min", "q25", "q50", "q75", "max"))
 
 
 def _summary(counts: DataFrame) -> DataFrame:
@@ -263,10 +276,12 @@ def describe_categories(df: DataFrame, columns: list[str]) -> DataFrame:
 def column_profile(df: DataFrame) -> DataFrame:
     """Type, missing %, distinct values, top value and its %, and numbers where numeric.
 
-    A NULL that is the most frequent entry is reported as ``NaN``.
+    A NULL that is the most frequent entry is reported as ``NaN``. The rows are read twice: once
+    for the counts of all values, which give quartiles too, once for the moments.
     """
+    counts = durable(value_table(df, df.columns))
     kinds = F.create_map(*[F.lit(x) for n, k in df.dtypes for x in (n, k)])
-    base = _summary(value_table(df, df.columns)).select(
+    base = _summary(counts).select(
         "column", kinds[F.col("column")].alias("dtype"),
         (F.col("missing_count") * 100.0 / F.col("rows")).alias("missing_pct"), "missing_count",
         "unique_count", F.coalesce("top", F.lit("NaN")).alias("top_value"),
@@ -274,7 +289,13 @@ def column_profile(df: DataFrame) -> DataFrame:
     numeric = numeric_columns(df)
     if not numeric:
         return base
-    return base.join(describe(df, numeric).drop("n"), "column", "left")
+    number = F.col("value").cast("double")
+    numbers = counts.filter(F.col("column").isin(numeric) & F.col("value").isNotNull() & ~F.isnan(number)).select(
+        "column", number.alias("value"), F.col("n").alias("_c"))
+    quart = _wide(counted_quantiles(numbers, list(QUARTILES.values())), QUARTILES)
+    # a row per column on each side
+    return base.join(F.broadcast(_moments(df, numeric).drop("n")), "column", "left").join(
+        F.broadcast(quart), "column", "left").select(*base.columns, "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def quality_table(df: DataFrame) -> DataFrame:
@@ -313,7 +334,7 @@ def histogram(df: DataFrame, column: str, bins: int | None = None, width: float
 def boxplot(df: DataFrame, columns: list[str]) -> DataFrame:
     """Quartiles, whiskers at the last value within 1.5 IQR, and the outlier count; NaN counts as missing."""
     df = without_nan(df, columns)
-    quart = pin_small(quantiles_wide(df, columns, {"q25": 0.25, "q50": 0.5, "q75": 0.75}))
+    quart = pin_small(quantiles_wide(df, columns, QUARTILES))
     reach = (F.col("q75") - F.col("q25")) * 1.5
     inside = (F.col("value") >= F.col("q25") - reach) & (F.col("value") <= F.col("q75") + reach)
     cells = long_form(df, columns, "double").filter(F.col("value").isNotNull())

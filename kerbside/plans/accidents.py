@@ -9,13 +9,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kerbside.clustering import grouped
+from kerbside.clustering.grouped import GroupedKPrototypes
 from kerbside.functions import codes
 from kerbside.functions import columns as fc
 from kerbside.operators import clean, features, impute, joins, ordered
 from kerbside.sources import raw as raw_source
 from kerbside.sources import schemas
-from kerbside.session import durable
+from kerbside.session import durable, plan_settings, spread, written
 
+KEYS = ["id_accident", "id_vehicle"]
 SAFETY = ["safety_equipment_1", "safety_equipment_2", "safety_equipment_3"]
 
 
@@ -35,32 +38,37 @@ def with_user_ids(users: DataFrame, bucket: Column | None = None) -> DataFrame:
     return ordered.synthetic_key(users, "id_accident", [F.col("_src_pos")], bucket)
 
 
+def placed(df: DataFrame) -> DataFrame:
+    """Rows with typed keys, exchanged once: by accident and, within it, by shares of its vehicles."""
+    keys = {k: fc.blank_free_long(k) for k in KEYS}
+    return joins.placed(df.withColumns(keys), *KEYS)
+
+
 def vehicle_rows(vehicles: DataFrame) -> DataFrame:
-    """Vehicles with unknowns as NULL, the class instead of the code, and its weight."""
-    v = clean.sentinels_to_null(raw_source.typed(vehicles), codes.VEHICLE_SENTINELS)
+    """Placed rows, unknowns as NULL, the class instead of the code, and its weight; of an (accident,
+    vehicle) the last row of the file and the heaviest one."""
+    rows = raw_source.typed(placed(vehicles.select("id_accident", *codes.MIRRORED, "_src_pos")), KEYS)
+    v = clean.sentinels_to_null(rows, codes.VEHICLE_SENTINELS)
     v = v.withColumn("vehicle_category", fc.vehicle_class("vehicle_category"))
-    return v.select("id_accident", *codes.MIRRORED, "_src_pos",
-                    fc.class_weight("vehicle_category").alias("_impact"))
+    v = v.withColumn("_impact", fc.class_weight("vehicle_category"))
+    return joins.ranked_members(v, *KEYS, "_impact", F.col("_src_pos"))
 
 
-def prepared_vehicles(rows: DataFrame) -> DataFrame:
-    """One row per (accident, vehicle) with the heaviest opponent beside it."""
-    paired = joins.with_opponent(rows, "id_accident", "id_vehicle", "_impact", F.col("_src_pos"),
-                                 codes.MIRRORED)
-    return paired.drop("_impact", "_src_pos")
+def vehicles_of_accidents(ranked: DataFrame) -> DataFrame:
+    """Per accident: its two heaviest vehicles and how many there are of each class."""
+    counts = {f"vehicle_category_involved_{c}": F.when(F.col("vehicle_category") == c, 1).otherwise(0)
+              for c in codes.SIX_CLASSES}
+    return joins.group_summary(ranked, *KEYS, "_impact", F.col("_src_pos"), codes.MIRRORED, counts)
 
 
-def class_counts(rows: DataFrame) -> DataFrame:
-    """Vehicles of each class per accident; an id that occurs twice counts once."""
-    once = ordered.first_per_key(rows.select("id_accident", "id_vehicle", "vehicle_category", "_src_pos"),
-                                 ["id_accident", "id_vehicle"], [F.desc("_src_pos")])
-    return joins.category_counts(once, "id_accident", "vehicle_category", codes.SIX_CLASSES,
-                                 "vehicle_category_involved_")
+def by_accident(df: DataFrame) -> DataFrame:
+    """Rows with a typed accident key; a table of few splits is dealt out by it before the work per row."""
+    return spread(df.withColumn("id_accident", fc.blank_free_long("id_accident")), "id_accident")
 
 
 def best_locations(locations: DataFrame) -> DataFrame:
     """The most telling location row of each accident."""
-    loc = raw_source.typed(locations)
+    loc = raw_source.typed(by_accident(locations), ["id_accident"])
     rank = F.coalesce(F.col("road_category").cast("double"), F.lit(99.0))
     has_marker = (F.col("nearest_reference_marker").isNotNull()
                   | F.col("nearest_reference_marker_distance").isNotNull())
@@ -75,27 +83,34 @@ def accident_rows(b: dict[str, DataFrame]) -> DataFrame:
     The speed filter needs the joined location: filtering locations first would keep the
     accident with an unknown limit.
     """
-    c = raw_source.typed(b["circumstances"]).drop("_src_pos", "file_year")
+    c = raw_source.typed(by_accident(b["circumstances"].drop("_src_pos", "file_year")), ["id_accident"])
     joined = joins.star(c, [best_locations(b["locations"])], "id_accident")
     return clean.keep_up_to(joined, "speed_limit", codes.SPEED_LIMIT_MAX)
 
 
-def user_rows(b: dict[str, DataFrame], vehicles: DataFrame, bucket: Column | None = None) -> DataFrame:
-    """Users with own and other vehicle; a pedestrian's vehicle is the other one."""
+def user_rows(b: dict[str, DataFrame], ranked: DataFrame, bucket: Column | None = None) -> DataFrame:
+    """Users with their own vehicle; ``_own`` is NULL for a user without one."""
     parts = [with_user_ids(b[t], bucket) for t in ("users", "users_without_id") if t in b]
-    u = raw_source.typed(joins.append(*parts)).drop("number_vehicle", "_src_pos", "file_year")
-    u = u.withColumn("id_user", fc.strip_blanks("id_user"))
-    joined = joins.left_null_safe(u, vehicles, ["id_accident", "id_vehicle"], ["id_vehicle"])
-    return joins.swap_roles(joined, F.col("user_category") == 3, codes.MIRRORED)
+    u = placed(joins.append(*parts).drop("number_vehicle", "_src_pos", "file_year"))
+    u = raw_source.typed(u, KEYS).withColumn("id_user", fc.strip_blanks("id_user"))
+    vehicles = ranked.filter("_last").drop("_impact", "_src_pos", "_last", "_best").withColumn("_own", F.lit(True))
+    return joins.left_null_safe(u, vehicles, ["id_accident", "_slot", "id_vehicle"], ["id_vehicle"]).drop("_slot")
 
 
 def merged(b: dict[str, DataFrame], accidents: DataFrame | None = None,
            bucket: Column | None = None) -> DataFrame:
-    """Stage C: accident, location, user, vehicles and class counts."""
-    rows = vehicle_rows(b["vehicles"])
+    """Stage C: accident, location, class counts, user, own and other vehicle.
+
+    Vehicles and users are exchanged once each; the joined rows once more, by accident alone.
+    A pedestrian's vehicle is the other one.
+    """
+    ranked = vehicle_rows(b["vehicles"])
     accidents = accident_rows(b) if accidents is None else accidents
-    users = user_rows(b, prepared_vehicles(rows), bucket)
-    return joins.star(accidents, [users, class_counts(rows)], "id_accident")
+    joined = joins.star(accidents, [vehicles_of_accidents(ranked), user_rows(b, ranked, bucket)], "id_accident")
+    other = F.when(F.col("_own"), joins.opponent("id_vehicle"))
+    paired = joined.withColumn("_other", other).withColumns(
+        {f"{c}_other": F.col(f"_other.{c}") for c in codes.MIRRORED}).drop("_own", "_top", "_other")
+    return joins.swap_roles(paired, F.col("user_category") == 3, codes.MIRRORED)
 
 
 def _complexity() -> Column:
@@ -131,20 +146,15 @@ def selected(e: DataFrame, keep: list[str] = ("year",)) -> DataFrame:
     return clean.to_smallint(clean.drop_present(e, drops), codes.SMALLINT_COLUMNS)
 
 
-def clustered(f: DataFrame, k: int = 3, restarts: int = 5, by: str | None = "year",
-              seed: int = 42, max_rounds: int | None = None) -> DataFrame:
-    """Add ``cluster`` by k-prototypes, fitted per year by default."""
-    from kerbside.clustering.kprototypes import KPrototypes
-    numeric = [c for c in codes.CLUSTER_NUMERIC + codes.CLUSTER_ORDINAL if c in f.columns]
-    other = [c for c in f.columns if c not in numeric and c not in ("injury_target", by)]
-    model = KPrototypes(k=k, numeric=numeric, categorical=other, restarts=restarts, seed=seed,
-                        max_rounds=max_rounds)
-    if by is None:
-        return clean.to_smallint(model.fit(f).transform(f), ["cluster"])
-    groups = [r[0] for r in f.select(by).distinct().orderBy(by).collect()]
-    parts = [model.fit(f.filter(F.col(by).eqNullSafe(F.lit(g)))).transform(
-        f.filter(F.col(by).eqNullSafe(F.lit(g)))) for g in groups]
-    return clean.to_smallint(joins.append(*parts), ["cluster"]) if parts else f
+def clustered(f: DataFrame, k: int = 3, restarts: int = 5, by: str | None = "year", seed: int = 42,
+              max_rounds: int | None = None, numeric: list[str] | None = None, categorical: list[str] | None = None,
+              gamma: float | None = None, keys: list[str] | None = None) -> DataFrame:
+    """Add ``cluster`` by k-prototypes, fitted per year by default, all years in the same rounds."""
+    numbers = numeric or [c for c in codes.CLUSTER_NUMERIC + codes.CLUSTER_ORDINAL if c in f.columns]
+    other = categorical or [c for c in f.columns if c not in numbers and c not in ("injury_target", by)]
+    model = GroupedKPrototypes(k=k, numeric=numbers, categorical=other, by=by, gamma=gamma, restarts=restarts,
+                               seed=seed, max_rounds=max_rounds, keys=keys)
+    return clean.to_smallint(grouped.assign(f, model.fit(f), by), ["cluster"])
 
 
 def build(raw: dict[str, DataFrame], scale_by: str | None = "year",
@@ -156,7 +166,8 @@ def build(raw: dict[str, DataFrame], scale_by: str | None = "year",
     """
     made = durable if once else lambda df: df
     b = renamed(raw)
-    accidents = durable(accident_rows(b))      # read twice: by the join and for the complexity range
+    plan_settings(next(iter(b.values())).sparkSession)
+    accidents = written(accident_rows(b), "accidents")      # read twice: by the join and for the complexity range
     c = made(merged(b, accidents, bucket))
     d = made(engineered(c, accidents, scale_by))
     e = made(impute.impute_all(d))

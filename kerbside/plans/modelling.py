@@ -56,15 +56,15 @@ class Scorer:
     categorical: list[str]
 
     def save(self, folder: str) -> None:
-        sinks.save_model(PipelineModel([*self.encoder.stages, *self.model.pipeline.stages]), {
-            "encoder_stages": len(self.encoder.stages), "kind": self.model.kind, "classes": self.model.classes,
+        sinks.save_model(PipelineModel([*self.encoder.stages, *self.model.stages()]), {
+            "encoder_stages": len(self.encoder.stages), "parts": len(self.model.pipeline.stages), **self.model.metadata(),
             "columns": self.columns, "categorical": self.categorical}, folder)
 
     @staticmethod
     def load(spark: SparkSession, folder: str) -> Scorer:
         pipeline, meta = sinks.load_model(spark, folder)
         n = meta["encoder_stages"]
-        model = SeverityModel(PipelineModel(pipeline.stages[n:]), meta["kind"], meta["classes"])
+        model = SeverityModel.of_stages(pipeline.stages[n:], meta["kind"], meta["classes"], meta.get("parts"))
         return Scorer(PipelineModel(pipeline.stages[:n]), model, meta["columns"], meta["categorical"])
 
     def score(self, reports: DataFrame, keep: list[str] = ()) -> DataFrame:
@@ -77,11 +77,12 @@ class Scorer:
 
 def train(rows: DataFrame, keys: list[str], one_hots: list[str], ordinals: list[str] | dict, fit: Callable[..., SeverityModel],
           numeric: list[str] = NUMERIC, target: str = TARGET, trees: int = 1000, classes: list[int] = (0, 1, 2),
-          outlier: float = 0.5, seed: int = 42) -> Scorer:
+          outlier: float = 0.5, seed: int = 42, categories: list[str] = ()) -> Scorer:
     """Prune outliers, balance the classes, encode and fit.
 
     Rows with an anomaly score above ``outlier`` are left out. ``rows`` are prepared rows; ``keys`` name a row for the seeded draws; ``fit`` is one of
-    ``ml.models`` and takes (encoded rows, target, classes).
+    ``ml.models`` and takes (encoded rows, target, classes). ``categories`` are columns that the
+    model encodes itself (target statistics of boosted trees).
     """
     codes_ = prepare.fit_encoder(rows, ordinals=[*one_hots, *ordinals], numeric=numeric, vector="_all")
     flat = codes_.transform(rows)
@@ -90,4 +91,4 @@ def train(rows: DataFrame, keys: list[str], one_hots: list[str], ordinals: list[
     balanced = ordered.undersample(inliers, target, keys, seed)
     encoder = prepare.fit_encoder(balanced, one_hots=one_hots, ordinals=ordinals, numeric=numeric)
     model = fit(encoder.transform(balanced), target, list(classes))
-    return Scorer(encoder, model, [*one_hots, *ordinals, *numeric], [*one_hots, *ordinals])
+    return Scorer(encoder, model, [*one_hots, *ordinals, *categories, *numeric], [*one_hots, *ordinals, *categories])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,14 +28,13 @@ def build_session(app_name: str = "kerbside", master: str | None = None,
     )
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, set as the session's checkpoint folder.
 
-    The folder comes from ``spark.checkpoint.dir``.  Only a local session without
-    that setting gets a folder of its own; a cluster session without it is an error,
-    since a folder on one machine cannot survive the loss of that machine.
+    Only a local session without that setting gets a folder of its own; a cluster session
+    without it is an error, since a folder on one machine cannot survive the loss of that machine.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         configured = sc.getConf().get("spark.checkpoint.dir")
         if configured is None:
@@ -42,9 +42,35 @@ def durable(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             configured = tempfile.mkdtemp(prefix="kerbside-checkpoint-")
         sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir().rstrip("/")
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back: for wide rows of which later steps
+    read a few columns."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def plan_settings(spark: SparkSession) -> None:
+    """Two settings of the session that change how plans run, never what they give.
+
+    Joins use rows that are already placed by some of their keys, where Spark would exchange both
+    sides again by all of them. And a stage whose generated method is too long for the JVM to
+    compile falls back to one method per operator, which is split: projections of fifty columns
+    would be interpreted otherwise.
+    """
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal a table out over the cores if its files give fewer splits than there are cores.
 

@@ -79,19 +79,22 @@ def years_in(spark: SparkSession, folder: str) -> list[int]:
     return sorted({int(y) for y in re.findall(YEAR_IN_NAME, names)})
 
 
-def typed(df: DataFrame) -> DataFrame:
-    """Clean types for the columns that are there; unreadable values become NULL."""
-    def one(name):
-        if name in ("_src_pos", "file_year") or name in schemas.TEXTS:
-            return F.col(name)
-        if name in schemas.LONGS:
-            return fc.blank_free_long(name)
-        if name == "number_of_traffic_lanes":
-            return fc.lane_count(name)
-        if name in schemas.DOUBLES:
-            return fc.blank_free_double(name)
-        return fc.code(name)
-    return df.select([one(c).alias(c) for c in df.columns])
+def typed(df: DataFrame, done: list[str] = ()) -> DataFrame:
+    """Clean types for the columns that are there; unreadable values become NULL.
+
+    Columns in ``done`` and those that start with ``_`` stay as they are. Columns of one kind are
+    read by one expression over an array of them, which keeps the generated code short.
+    """
+    kinds: dict[str, list[str]] = {"long": [], "lanes": [], "double": [], "code": []}
+    for name in df.columns:
+        if name in done or name[0] == "_" or name == "file_year" or name in schemas.TEXTS:
+            continue
+        kinds["long" if name in schemas.LONGS else "lanes" if name == "number_of_traffic_lanes"
+              else "double" if name in schemas.DOUBLES else "code"].append(name)
+    readers = {"long": fc.blank_free_long, "lanes": fc.lane_count, "double": fc.blank_free_double, "code": fc.code}
+    read = {f"_{k}s": F.transform(F.array(*[F.col(c).cast("string") for c in names]), readers[k]) for k, names in kinds.items() if names}
+    out = df.withColumns(read)
+    return out.withColumns({c: F.col(f"_{k}s")[i] for k, names in kinds.items() for i, c in enumerate(names)}).drop(*read)
 
 
 def rejects(df: DataFrame, key: str, checks: dict[str, F.Column], year: str = "file_year") -> DataFrame:

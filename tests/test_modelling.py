@@ -88,3 +88,37 @@ def test_silhouette_beyond_one_block(spark):
         scores.append((min(mean.values()) - a) / max(a, *[min(mean.values())]))
     got = silhouette.euclidean_silhouette(df, "v", "l", block=64).first()["silhouette"]
     assert abs(got - np.mean(scores)) < 1e-9
+
+
+def test_euclidean_silhouette_asks_few_clusters(spark):
+    """Far clusters are not compared; the measure is the one of all distances."""
+    rng = np.random.default_rng(12)
+    labels = rng.integers(0, 12, 500)
+    x = rng.normal(0, 1, (500, 3)) + np.array([[20 * (k % 4), 20 * (k // 4), k % 2] for k in labels])
+    rows = [(int(a), v.tolist()) for a, v in zip(labels, x)] + [(77, [0.0, 0.0, 0.0]), (-1, [5.0, 5.0, 5.0])]
+    df = spark.createDataFrame(rows, "l int, v array<double>").repartition(4)
+    kept = [(a, np.array(v)) for a, v in rows if a != -1]
+    y, lab = np.stack([v for _, v in kept]), np.array([a for a, _ in kept])
+    d = np.sqrt(((y[:, None] - y[None]) ** 2).sum(2))
+    scores = []
+    for i, a in enumerate(lab):
+        own = lab == a
+        means = [d[i, lab == c].mean() for c in set(lab) - {a}]
+        inner = d[i, own].sum() / max(own.sum() - 1, 1)
+        scores.append((min(means) - inner) / max(min(means), inner) if own.sum() > 1 else 0.0)
+    for block in (50, 4096):
+        got = silhouette.euclidean_silhouette(df, "v", "l", block=block).first()
+        assert (got["silhouette"], got["clusters"]) == (pytest.approx(np.mean(scores)), 13)
+    held = df.filter("l <> -1").select(F.monotonically_increasing_id().alias("_id"), F.col("l").alias("_l"), F.col("v").alias("_v"))
+    sums = silhouette.cluster_sums(held, "_v", "_l", 3)
+    for cells in (9, 10 ** 6):                                    # the cluster table in several parts, and whole
+        asked = silhouette.asked_clusters(held, sums, 3, "int", cells).groupBy("_id").count().collect()
+        assert len(asked) == 501 and np.mean([r["count"] for r in asked]) < 6
+
+
+def test_squared_silhouette_of_many_parts(spark):
+    rng = np.random.default_rng(13)
+    rows = [(int(k), rng.normal(k, 1, 2).tolist()) for k in rng.integers(0, 9, 300)]
+    df = spark.createDataFrame(rows, "l int, v array<double>").withColumn("i", F.monotonically_increasing_id())
+    few, whole = [{r.i: r.s for r in silhouette.squared_per_row(df, "v", "l", "s", cells).collect()} for cells in (4, 10 ** 6)]
+    assert few == pytest.approx(whole)
