@@ -34,6 +34,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fits_broadcast(rows: int, bytes_per_row: int) -> bool:
     return rows * bytes_per_row <= BROADCAST_BYTES
 
@@ -110,6 +118,3 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
-
-def salts(rows: int, per_group: int = 200_000) -> int:
-    return max(1, math.ceil(rows / per_group))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import components, slices, stored
+from kerbside.llm.common import components, fresh, slices, stored
 
 HOT = 256           # fingerprints under one segment value from which it is worked on in blocks
 BLOCK = 2048        # fingerprints of a table's block
@@ -173,6 +173,7 @@ def one_per_group(docs: DataFrame, words: int = 5, bits: int = 3) -> DataFrame:
     Rows are told by their id: an id stays with all its rows if it names the group of any.
     """
     stays = F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    dropped = stored(groups(docs, words, bits).where("doc_id is not null").groupBy(F.col("doc_id").alias("_dropped"))
-                     .agg(stays.alias("_stays")).where("not _stays").select("_dropped"), "near-copies")
-    return docs.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti")
+    name = fresh(docs, "_dropped")
+    dropped = stored(groups(docs.select("doc_id", "text"), words, bits).where("doc_id is not null")
+                     .groupBy(F.col("doc_id").alias(name)).agg(stays.alias("_stays")).where("not _stays").select(name), "near-copies")
+    return docs.join(dropped, F.col("doc_id") == F.col(name), "left_anti")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbside.llm.common import labelled, slices, with_columns_from
+from kerbside.llm.common import fresh, labelled, slices, with_columns_from
 
 SAMPLE_ROWS = 20_000      # labelled rows the model is fitted to, at most
 THRESHOLD = 0.7
@@ -337,8 +337,8 @@ def _with_features(df: DataFrame, terms, known) -> DataFrame:
     return with_columns_from(df, [T.StructField("_features", T.ArrayType(T.DoubleType()))], make)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with toxicity (0 to 1)."""
+def score(docs: DataFrame, model: Model, into: str = "toxicity") -> DataFrame:
+    """``docs`` with toxicity (0 to 1) in the column ``into``."""
     shared = docs.sparkSession.sparkContext.broadcast((model.terms, model.known, model.weights))
 
     def make():
@@ -352,9 +352,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             return [pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))), pa.float64())]
         return compute
 
-    return with_columns_from(docs, [T.StructField("toxicity", T.DoubleType())], make)
+    return with_columns_from(docs, [T.StructField(into, T.DoubleType())], make)
 
 
 def clean_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The documents scored below ``threshold``, with their columns."""
-    return score(docs, model).where(F.col("toxicity") < threshold).select(*docs.columns)
+    name = fresh(docs, "_toxicity")
+    return score(docs, model, name).where(F.col(name) < threshold).select(*docs.columns)
