@@ -4,13 +4,15 @@ Documents become token ids with an end id; only those longer than a sequence are
 whole numbers up to the sequence length, so an instance is its table of counts per length, at
 most ``size`` rows however many documents there are. On that table, sets of items that dominate
 every other choice for the largest open item are fixed for good (the item alone, with an exact
-partner, with the largest fitting partner if no three fit or if it is at least the best pair), as
+partner, with the largest fitting partner if no three fit beside it and no pair is larger), as
 often as the counts allow. The rest is packed best-fit by falling length, whole runs of equal
-bins at a time. The plan is a list of patterns (lengths in a bin, number of such bins).
+bins at a time; if that takes more sequences than the tokens need at least, the fullest patterns
+(subset sums beside the largest open length) are tried too, and the fewer sequences count. The plan
+is a list of patterns (lengths in a bin, number of such bins).
 
 Pieces get their places by joining their number within their length to the patterns' ranges. They
-are numbered by length and salt, with offsets per salt, so a length that holds a third of all
-pieces is not one task's.
+are numbered by length and salt, with offsets per salt and as many salts as a length's count asks
+for, so a length that holds a third of all pieces is not one task's.
 
 A null text counts as empty: one piece, the end id alone. Rows are packed one by one, repeated
 ones too; ties in length go by doc_id, piece and content. An empty table gives no rows; extra
@@ -22,17 +24,19 @@ from __future__ import annotations
 import bisect
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import salts, slices, stored
+from kerbside.llm.common import slices, stored
 
 SIZE = 2048
 END_ID = 0
+SHARE_ROWS = 256          # pieces of one length numbered together, at least; more once there are more than
+MOST_SHARES = 1 << 16     # this many such shares
 # texts of these signs only are cut at white space; others go to the tokenizer whole
 PLAIN = re.compile("[\\t\\n\\r -~À-ÖØ-öø-įĲ-ſ]*")
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
@@ -139,6 +143,14 @@ def reduce_instance(counts: dict[int, int], size: int) -> tuple[list[tuple[tuple
                 i += 1
         return best
 
+    def three_fit(room):
+        """Whether the three smallest open items fit into ``room``."""
+        n = total = 0
+        for w in order[:3]:
+            k = min(3 - n, left[w])
+            n, total = n + k, total + k * w
+        return n == 3 and total <= room
+
     for w in sorted(left, reverse=True):
         while w in left:
             room = size - w
@@ -150,8 +162,8 @@ def reduce_instance(counts: dict[int, int], size: int) -> tuple[list[tuple[tuple
                 take((w,), left[w])                                   # nothing fits beside it
                 continue
             times = left[w] // 2 if k == w else min(left[w], left[k])
-            if k == room or k >= best_pair(room):
-                # an exact partner, or one no pair can beat (no three fit: the best pair is zero)
+            if k == room or k >= best_pair(room) and not three_fit(room):
+                # an exact partner, or one that no pair can beat where no three fit
                 if w == k and 3 * w <= size:
                     break                                             # several of its own size fit
                 take((w, k), times)
@@ -205,9 +217,51 @@ def best_fit(counts: dict[int, int], size: int) -> list[tuple[tuple[int, ...], i
     return [(p, t) for groups in bins.values() for p, t in groups]
 
 
+def fullest(counts: dict[int, int], size: int) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns that fill up the room beside the largest open length as far as any sum of open lengths can.
+
+    Reachable sums are the bits of whole numbers, one per length; a pattern is used until one of
+    its lengths runs out.
+    """
+    left = {w: n for w, n in counts.items() if n}
+    out = []
+    for w in sorted(left, reverse=True):
+        while w in left:
+            left[w] -= 1
+            room, mask = size - w, (1 << size - w + 1) - 1
+            lengths = [x for x in sorted(left) if x <= room and left[x]]
+            reach = [1]
+            for x in lengths:
+                sums, n, step = reach[-1], min(left[x], room // x), 1
+                while n:                                  # counts by halves: 1, 2, 4 and the rest
+                    k = min(step, n)
+                    sums |= sums << k * x & mask
+                    n, step = n - k, 2 * step
+                reach.append(sums)
+            total, pattern = reach[-1].bit_length() - 1, [w]
+            for i in range(len(lengths) - 1, -1, -1):     # as many of the larger lengths as possible
+                x = lengths[i]
+                k = next(k for k in range(min(left[x], total // x), -1, -1) if reach[i] >> total - k * x & 1)
+                pattern += [x] * k
+                total -= k * x
+            left[w] += 1
+            used = Counter(pattern)
+            times = min(left[x] // k for x, k in used.items())
+            out.append((tuple(pattern), times))
+            for x, k in used.items():
+                left[x] -= k * times
+                if not left[x]:
+                    del left[x]
+    return out
+
+
 def plan(counts: dict[int, int], size: int = SIZE) -> list[tuple[tuple[int, ...], int]]:
+    """Reduce, then best-fit what is left; if that is not the least thinkable, the fullest patterns may be fewer."""
     fixed, left = reduce_instance(counts, size)
-    return fixed + best_fit(left, size)
+    rest = best_fit(left, size)
+    if sum(t for _, t in rest) > -(-sum(w * n for w, n in left.items()) // size):
+        rest = min(rest, fullest(left, size), key=lambda found: sum(t for _, t in found))
+    return fixed + rest
 
 
 def slots(patterns) -> list[tuple[int, int, int, int, int, int]]:
@@ -233,11 +287,14 @@ def pack(cut: DataFrame, size: int = SIZE) -> DataFrame:
     """
     spark = cut.sparkSession
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    n = salts(sum(counts.values()))
     rows = slots(plan(counts, size))
     places = spark.createDataFrame(rows or [(0, 0, 0, 1, 0, 0)],
                                    "length long, first long, past long, per long, sequence long, at long")
-    salted = cut.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(n)))
+    # each length has shares by its own count, so that no group of rows stands out
+    share = max(SHARE_ROWS, sum(counts.values()) // MOST_SHARES)
+    shares = spark.createDataFrame([(w, -(-n // share)) for w, n in counts.items()] or [(0, 1)], "length long, _shares long")
+    salted = cut.join(F.broadcast(shares), "length").withColumn(
+        "_salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("_shares"))).drop("_shares")
     sizes = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
     before = sizes.select("length", "_salt", (F.sum("_n").over(
         Window.partitionBy("length").orderBy("_salt")) - F.col("_n")).alias("_before"))
