@@ -1,7 +1,9 @@
 """Benchmark decontamination by template canonicalisation.
 
 Numbers, names and units become typed placeholders, so a question with other parameters has the
-same template. Windows of ``window`` template tokens of the benchmark are hash-joined with those
+same template. A number or name of several words ("twenty one", "New York") is one placeholder. A
+capitalised word inside a sentence is a name; at the beginning of one it is if the corpus does not hold
+it in lower case (``COMMON`` words at most do: counted over all texts, and a bound on what tasks hold). Windows of ``window`` template tokens of the benchmark are hash-joined with those
 of the documents. A window of placeholders alone says nothing by its template: it is met word for
 word, or by its template at its distance from the nearest window with a word. A document's windows are looked up in a bitmap of fixed size first (built from
 the benchmark's hashes), so that only possible hits are shuffled; the join compares hashes and the
@@ -28,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import slices, stored
+from kerbside.llm.common import fresh, slices, stored
 
 WINDOW = 8
 SHARE = 0.5         # of an item's windows
@@ -39,6 +41,11 @@ TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+|\x02")
 CAPITAL = "A-ZÀ-ÖØ-Þ"
 # a capitalised word after a word and one space, so that it begins no sentence
 NAME_AT = re.compile(rf"[{CAPITAL}](?<=[^\W_] [{CAPITAL}])[^\W\d_{CAPITAL}]+(?![^\W\d_])")
+# one that may begin a sentence or a line: a name if its lower-case form is no common word
+START_AT = re.compile(rf"(?:(?<![\s\S])|(?<=[.!?:;] )|(?<=\n))[{CAPITAL}][^\W\d_{CAPITAL}]+(?![^\W\d_])")
+WORD = re.compile(r"[^\W\d_]+")
+COMMON = 1 << 17    # words met in lower case that count as common, at most
+COMMON_CHARS = 32   # of such a word
 # fixed values: units of measure and currency, and number words
 UNITS = frozenset("mm cm m km mg g kg t ml l s sec second seconds min minute minutes h hour hours day days week weeks "
                   "month months year years inch inches ft foot feet mile miles yard yards lb lbs pound pounds oz "
@@ -48,19 +55,61 @@ NUMBERS = frozenset("one two three four five six seven eight nine ten eleven twe
 NUM, NAME, UNIT = "\x01num", "\x01name", "\x01unit"
 
 
-def template(text: str) -> tuple[list[str], list[str]]:
-    """(template tokens, original tokens)."""
+def common_words(texts: DataFrame, most: int = COMMON) -> frozenset[str]:
+    """The words that the column ``text`` holds in lower case twice or more, the most frequent levels of ``most``."""
+    def run(batches):
+        found = Counter()
+
+        def flush():
+            out = pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())],
+                                             names=["word", "n"])
+            found.clear()
+            return out
+
+        for batch in slices(batches):
+            for text in batch.column(0).to_pylist():
+                found.update(w for w in WORD.findall(text or "") if len(w) <= COMMON_CHARS and w.islower())
+            if len(found) > 100_000:
+                yield flush()
+        yield flush()
+
+    counts = texts.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
+    levelled = stored(counts.withColumn("level", F.floor(F.log2("n") * 8).cast("int")), "lower-case-words")
+    sizes = {r["level"]: r["words"] for r in levelled.groupBy("level").agg(F.count("*").alias("words")).collect()}     # a few hundred
+    least = None
+    for level in sorted(sizes, reverse=True):
+        most -= sizes[level]
+        if most < 0:
+            break
+        least = level
+    return frozenset() if least is None else frozenset(
+        levelled.where(F.col("level") >= least).select("word").toArrow().column("word").to_pylist())
+
+
+def template(text: str, common: frozenset[str] | None = None) -> tuple[list[str], list[str]]:
+    """(template tokens, original tokens); words of one number, or of one name, are one token.
+
+    ``common``: the words that begin a sentence without being names; None: no such word is a name.
+    """
     names = {m.start() for m in NAME_AT.finditer(text)}
+    if common is not None:
+        names |= {m.start() for m in START_AT.finditer(text) if m[0].lower() not in common}
     out, original = [], []
+    before = -1
     for m in TOKEN.finditer(text):
         w = m[0].lower()
         if w == "\x02":
             continue
+        kind = NAME if m.start() in names else NUM if w[0].isdigit() or w in NUMBERS else None
+        joins = out and m.start() == before + 1 and text[before] in " -" and (
+            kind == NAME == out[-1] or kind == NUM == out[-1] and w in NUMBERS)
+        before = m.end()
+        if joins:
+            original[-1] += " " + w
+            continue
         original.append(w)
-        if m.start() in names:
-            out.append(NAME)
-        elif w[0].isdigit() or w in NUMBERS:
-            out.append(NUM)
+        if kind:
+            out.append(kind)
         elif w in UNITS and out and out[-1] == NUM:
             out.append(UNIT)
         else:
@@ -97,11 +146,14 @@ UNIT_CODES, NUMBER_CODES = [np.array(sorted(_code(u) for u in words), np.int64)
 NUM_CODE, NAME_CODE, UNIT_CODE = _code(NUM), _code(NAME), _code(UNIT)
 
 
-def marked(text: str) -> str:
-    """``text`` with one sign in place of each name."""
+def marked(text: str, common: frozenset[str] | None = None) -> str:
+    """``text`` with one sign in place of each name word."""
     if "\x02" in text:
         text = text.replace("\x02", " ")
-    return NAME_AT.sub("\x02", text) if NAME_AT.search(text) else text
+    made = NAME_AT.sub("\x02", text) if NAME_AT.search(text) else text
+    if common is not None:
+        made = START_AT.sub(lambda m: m[0] if m[0].lower() in common else "\x02", made)
+    return made
 
 
 @lru_cache(2)
@@ -112,19 +164,18 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up), np.cumprod(down)
 
 
-def coded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def coded(texts: list[str], common: frozenset[str] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(codes of the tokens of all texts, where each text's end); units are not told from words yet."""
     codes, counts = [], np.zeros(len(texts), np.int64)
     lines, place = [], []
     order = np.zeros(0, np.int64)
-    for k, text in enumerate(texts):
-        text = marked(text)
+    for k, whole in enumerate(texts):
+        text = marked(whole, common)
         if PLAIN.fullmatch(text):
             lines.append(text.lower().encode())
             place.append(k)
         else:
-            own = [NAME_CODE if t == "\x02" else NUM_CODE if t[0].isdigit() or t in NUMBERS else _code(t)
-                   for t in (m.lower() for m in TOKEN.findall(text))]
+            own = [_code(t) for t in template(whole.replace("\x02", " "), common)[0]]
             codes.append(np.array(own, np.int64))
             counts[k] = len(own)
             order = np.concatenate([order, np.full(len(own), k)])
@@ -142,8 +193,14 @@ def coded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(raw * up[:len(raw)], dtype=np.uint64)])
         h = ((sums[end] - sums[start]) * down[start] ^ (end - start).astype(np.uint64)) * MIX
         h = (h ^ h >> np.uint64(29)).view(np.int64)
-        h[(kind[start] == DIGIT) | np.isin(h, NUMBER_CODES)] = NUM_CODE
-        h[kind[start] == MARK] = NAME_CODE
+        word, mark = np.isin(h, NUMBER_CODES), kind[start] == MARK
+        h[(kind[start] == DIGIT) | word] = NUM_CODE
+        h[mark] = NAME_CODE
+        # a number word after a number, or a name after a name, with one blank or hyphen between, goes on with it
+        beside = (start[1:] - end[:-1] == 1) & np.isin(raw[end[:-1]], (32, 45))
+        first = np.ones(len(h), bool)
+        first[1:] = ~(beside & (mark[1:] & mark[:-1] | word[1:] & (h[:-1] == NUM_CODE)))
+        h, start = h[first], start[first]
         edges = np.cumsum([len(x) + 1 for x in lines])
         of = np.searchsorted(edges, start, side="right")
         counts[place] = np.bincount(of, minlength=len(lines))
@@ -155,9 +212,14 @@ def coded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return flat, np.cumsum(counts)
 
 
-def _hashes(codes: np.ndarray, window: int) -> np.ndarray:
-    """A 64-bit hash of every window of ``window`` codes."""
+def _hashes(codes: np.ndarray, window: int, ends: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit hash of every window of ``window`` codes; ``ends``: where each of several texts ends.
+
+    A unit is one that follows a number of its own text.
+    """
     after = np.flatnonzero(codes[:-1] == NUM_CODE) + 1
+    if ends is not None:
+        after = after[~np.isin(after, ends)]
     if len(after):
         codes = codes.copy()
         codes[after[np.isin(codes[after], UNIT_CODES)]] = UNIT_CODE
@@ -201,7 +263,7 @@ def _own(original: list[str], n: int) -> list[int]:
     return _hashes(np.array([_code(t) for t in original], np.int64), n).tolist()
 
 
-def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
+def benchmark_windows(items: DataFrame, window: int = WINDOW, common: frozenset[str] | None = None) -> DataFrame:
     """(item_id, pos, hash, look, far, bare, tokens, slots, windows) of each item; windows: how many the item has.
 
     look: hash of the template; hash differs for windows of placeholders alone: they have a row with
@@ -211,7 +273,7 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
         for batch in batches:
             rows = []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                tokens, original = template((text or "").replace("\x02", " "))
+                tokens, original = template((text or "").replace("\x02", " "), common)
                 if not tokens:
                     continue
                 n = min(window, len(tokens))
@@ -244,26 +306,28 @@ def _bitmap(windows: DataFrame) -> bytes:
     return out.tobytes()
 
 
-def possible_hits(docs: DataFrame, bitmap: bytes, window: int, short: list[int], reach: tuple[int, int]) -> DataFrame:
+def possible_hits(docs: DataFrame, bitmap: bytes, window: int, short: list[int], reach: tuple[int, int],
+                  common: frozenset[str] | None = None) -> DataFrame:
     """(doc_id, row, at, hash, tokens, slots): windows of documents whose hash is in the bitmap.
 
     ``short`` are the lengths of items below a window, looked up at their own length; ``reach`` how far
     windows of placeholders lie from a window with a word. ``row`` tells rows with the same doc_id apart.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    shared = docs.sparkSession.sparkContext.broadcast((bitmap, common))
 
     def run(batches):
-        bits, low = np.frombuffer(shared.value, np.uint32), np.int64((1 << BITMAP_BITS) - 1)
+        bitmap, common = shared.value
+        bits, low = np.frombuffer(bitmap, np.uint32), np.int64((1 << BITMAP_BITS) - 1)
 
         def listed(h):
             return bits[(h & int(low)) >> 5] >> np.uint32(h & 31) & 1
 
         def search(texts):
             """(text number, place, hash, length) of possible hits in some texts put end to end."""
-            a, ends = coded(texts)
+            a, ends = coded(texts, common)
             starts = np.concatenate([[0], ends[:-1]])
             for n in [window, *short]:
-                h = _hashes(a, n) if len(a) >= n else np.zeros(0, np.int64)
+                h = _hashes(a, n, ends) if len(a) >= n else np.zeros(0, np.int64)
                 slot = h & low
                 at = np.flatnonzero(bits[slot >> 5] >> (slot & 31).astype(np.uint32) & 1)
                 doc = np.searchsorted(ends, at, side="right")
@@ -283,7 +347,7 @@ def possible_hits(docs: DataFrame, bitmap: bytes, window: int, short: list[int],
                     if d not in made:
                         text = texts[first + d].replace("\x02", " ")
                         row = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1
-                        made = {d: (row, *template(text), {})}     # one text at a time is kept
+                        made = {d: (row, *template(text, common), {})}     # one text at a time is kept
                     row, tokens, original, own = made[d]
                     if _bare(tokens[i:i + n]):
                         if n not in own:
@@ -328,10 +392,11 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: float
 
     matched: windows of the item that count on the best alignment; changed: slots with other values in them.
     """
-    bench = stored(benchmark_windows(items, window), "benchmark-windows")
+    common = common_words(docs.select("text").unionByName(items.select("text")))
+    bench = stored(benchmark_windows(items, window, common), "benchmark-windows")
     short = [r[0] for r in bench.select(F.size("tokens").alias("n")).distinct().collect() if r[0] < window]
     far = bench.agg(F.min("far").alias("back"), F.max("far").alias("on")).first()
-    hits = possible_hits(docs, _bitmap(bench), window, short, (-(far["back"] or 0), far["on"] or 0))
+    hits = possible_hits(docs, _bitmap(bench), window, short, (-(far["back"] or 0), far["on"] or 0), common)
     b = bench.select("item_id", "pos", "hash", "bare", F.col("tokens").alias("b_tokens"),
                      F.col("slots").alias("b_slots"), "windows")
     met = hits.join(b, "hash").where((F.col("tokens") == F.col("b_tokens")) & (~F.col("bare") | (F.col("slots") == F.col("b_slots"))))
@@ -353,5 +418,6 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: float
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item, with their columns; rows without an id are kept."""
-    found = stored(leaks(docs, items).select(F.col("doc_id").alias("_leaked")).distinct(), "leaks")
-    return docs.join(found, F.col("doc_id") == F.col("_leaked"), "left_anti")
+    name = fresh(docs, "_leaked")
+    found = stored(leaks(docs, items).select(F.col("doc_id").alias(name)).distinct(), "leaks")
+    return docs.join(found, F.col("doc_id") == F.col(name), "left_anti")
