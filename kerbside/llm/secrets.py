@@ -10,14 +10,17 @@ fourth counts repeated signs. Their p-values, combined by Fisher's sum, say how
 Plain text looks random now and then, and more often the shorter it is. So the null is measured,
 not assumed: the corpus's plain words of the same length class go through the same battery, each
 distinct word once. A token's discovery p-value is the share of these words, read in its alphabet,
-that look at least as random. Benjamini-Hochberg over the distinct tokens of a class of length and
-encoding picks the tokens to report. A class of fewer than ``THIN`` words has no null to speak of:
-there the battery's own p-value decides, and what it does not reject as random is reported.
+that look at least as random, mixed with a prior in proportion to the evidence: the prior weighs as
+much as ``PRIOR_WORDS`` words, of which the share ``PRIOR`` would pass the battery at ``LEVEL``. The
+same rule holds for every size of corpus; the more words, the less the prior says. Benjamini-Hochberg
+over the distinct tokens of a class of length and encoding picks the tokens to report.
 
 Letter runs of one case are words as a rule, and may be keys: they are a group of their own, read in
-the alphabet of 26 letters, against the words that several rows hold. Under ``LETTER_RUN`` letters
-the battery cannot tell words from keys, so there only that null reports them. All tables are counts
-per (class, score bin).
+the alphabet of 26 letters, against the words that several rows hold, with a prior by length, as the
+battery tells short words from keys badly. Runs of digits are numbers as a rule, and an even draw of
+digits is what order numbers look like: their null are the corpus's own numbers, so one is reported
+only if it stands out among them. A run that a base span cuts into is judged by its rest. All tables
+are counts per (class, score bin).
 
 A null text counts as empty and has no span; repeated rows are scanned alike; very long texts are
 read whole; an empty table gives no rows; extra columns are ignored.
@@ -47,10 +50,13 @@ TOKENS = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % SHORTEST)
 BINS = 100          # of the randomness score
 CLASSES = (16, 20, 24, 32, 48, 64, 1 << 62)     # lower bounds of the length classes
 LENGTHS = len(CLASSES) - 1
+NARROW, WIDE, LETTERS, NUMBERS = range(4)       # groups of encodings, each with all length classes
 RATE = 0.01         # share of false discoveries allowed among the reported tokens
-THIN = 1_000        # distinct plain words a class needs as its null
-LEVEL = 0.05        # of the battery's own p-value, where the null is thin
-LETTER_RUN = 32     # letters of one case that the battery may judge without a null
+LEVEL = 0.05        # of the battery's own p-value, that the prior speaks of
+PRIOR = 0.005       # share of plain words that pass the battery at LEVEL, before any is seen
+PRIOR_WORDS = 200   # distinct words the prior weighs as much as
+# fixed values: the same share for letter runs, by lower bound of length
+LETTER_PRIOR = {16: 0.5, 20: 0.4, 24: 0.3, 32: 0.005, 48: 0.005, 64: 0.005}
 # alphabets in their natural order (fixed values)
 DIGITS, LOW = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 ALPHABETS = {"decimal": DIGITS, "hex": DIGITS + "abcdef", "base32": LOW.upper() + "234567",
@@ -131,7 +137,7 @@ def _bin(score: float) -> int:
 @lru_cache(50_000)
 def looks(token: str, name: str) -> tuple[int, int]:
     """(class of encoding and length, bin of the score)."""
-    group = 1 if name == "base64" else 2 if name == "letters" else 0
+    group = {"base64": WIDE, "letters": LETTERS, "decimal": NUMBERS}.get(name, NARROW)
     return length_class(len(token)) + LENGTHS * group, _bin(randomness(token, name))
 
 
@@ -144,10 +150,16 @@ def plain(token: str) -> bool:
 
 
 def candidates(text: str, taken: list[tuple[int, int, int]]):
-    """(start, end, whether it is a plain word) of key-like runs outside the base spans."""
+    """(start, end, whether it is a plain word) of key-like runs, without what base spans take of them."""
     for m in TOKENS.finditer(text):
-        if not any(s < m.end() and m.start() < e for s, _, e in taken):
-            yield m.start(), m.end(), plain(m[0])
+        at, end = m.span()
+        for s, _, e in taken:
+            if s < end and at < e:
+                if s - at >= SHORTEST:
+                    yield at, s, plain(text[at:s])
+                at = max(at, e)
+        if end - at >= SHORTEST:
+            yield at, end, plain(text[at:end])
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -176,10 +188,10 @@ def scan(docs: DataFrame) -> DataFrame:
                         # a plain word is natural text in its own alphabet and in the widest one
                         key = _key(token)
                         words.update((*looks(token, n), key) for n in (name, "base64", "letters"))
-                        if token.istitle():
-                            continue
                         name = "letters"
                     c, b = looks(token, name)
+                    if name == "decimal":
+                        words.add((c, b, _key(token)))       # numbers are each other's null
                     tokens.append({"start": s, "end": e, "class": c, "bin": b, "key": _key(token)})
                 found.append(tokens)
                 null.append([{"class": c, "bin": b, "key": k} for c, b, k in words])
@@ -193,32 +205,39 @@ def scan(docs: DataFrame) -> DataFrame:
              "plain array<struct<class int, bin int, key long>>")
 
 
-def _cut(c: int, tokens: dict[tuple[int, int], int], plain: dict[tuple[int, int], int], rate: float, alone: bool) -> int:
-    """The lowest bin of class ``c`` that is reported; ``alone``: the battery may decide without a null."""
+def prior(c: int, b: int) -> float:
+    """Share of plain words of class ``c`` taken to look as random as bin ``b``, before any is seen."""
+    if b < _bin(LEVEL):
+        return 1.0
+    group, length = divmod(c, LENGTHS)
+    return LETTER_PRIOR[CLASSES[length]] if group == LETTERS else PRIOR
+
+
+def _cut(c: int, tokens: dict[tuple[int, int], int], plain: dict[tuple[int, int], int], rate: float) -> int:
+    """The lowest bin of class ``c`` that is reported (BINS if none)."""
     n_plain = sum(n for (k, _), n in plain.items() if k == c)
     n_tokens = sum(n for (k, _), n in tokens.items() if k == c)
-    if n_plain < THIN:
-        return _bin(LEVEL) if n_tokens and alone else BINS
     best, above, null = BINS, 0, 0
     for b in range(BINS - 1, -1, -1):
         above += tokens.get((c, b), 0)
         null += plain.get((c, b), 0)
-        if above and (null + 1) / (n_plain + 1) <= rate * above / n_tokens:
+        p = (null + PRIOR_WORDS * prior(c, b)) / (n_plain + PRIOR_WORDS)
+        if above and p <= rate * above / n_tokens:
             best = b
     return best
 
 
 def cut_points(tokens: dict[tuple[int, int], int], plain: dict[tuple[int, int], int], rate: float = RATE) -> list[int]:
-    """Per class the lowest bin reported (BINS if none), Benjamini-Hochberg over its distinct tokens.
+    """Per class the lowest bin reported, Benjamini-Hochberg over its distinct tokens.
 
     Classes are the lengths of the narrow encodings, then those of base64.
     """
-    return [_cut(c, tokens, plain, rate, True) for c in range(2 * LENGTHS)]
+    return [_cut(c, tokens, plain, rate) for c in range(2 * LENGTHS)]
 
 
-def letter_cuts(tokens: dict[tuple[int, int], int], plain: dict[tuple[int, int], int], rate: float = RATE) -> list[int]:
-    """The same for letter runs of one case, whose classes follow those of ``cut_points``."""
-    return [_cut(2 * LENGTHS + k, tokens, plain, rate, CLASSES[k] >= LETTER_RUN) for k in range(LENGTHS)]
+def other_cuts(tokens: dict[tuple[int, int], int], plain: dict[tuple[int, int], int], rate: float = RATE) -> list[int]:
+    """The same for letter runs of one case, then numbers, whose classes follow those of ``cut_points``."""
+    return [_cut(c, tokens, plain, rate) for c in range(2 * LENGTHS, 4 * LENGTHS)]
 
 
 def find(docs: DataFrame, rate: float = RATE) -> DataFrame:
@@ -229,12 +248,12 @@ def find(docs: DataFrame, rate: float = RATE) -> DataFrame:
         """Distinct tokens or words per (class, bin); of letter runs only words that several rows hold are a null."""
         cells = (seen.select(F.explode(column).alias("c")).groupBy("c.class", "c.bin", "c.key").agg(F.count("*").alias("rows")))
         if column == "plain":
-            cells = cells.where((F.col("class") < 2 * LENGTHS) | (F.col("rows") > 1))
+            cells = cells.where((F.floor(F.col("class") / LENGTHS) != LETTERS) | (F.col("rows") > 1))
         return {(r["class"], r["bin"]): r["n"] for r in
                 cells.groupBy("class", "bin").agg(F.count("*").alias("n")).collect()}     # classes x bins at most
 
     tokens, words = counts("found"), counts("plain")
-    cuts = F.array(*[F.lit(c) for c in cut_points(tokens, words, rate) + letter_cuts(tokens, words, rate)])
+    cuts = F.array(*[F.lit(c) for c in cut_points(tokens, words, rate) + other_cuts(tokens, words, rate)])
     random = F.transform(F.filter("found", lambda t: t.bin >= F.element_at(cuts, t["class"] + 1)),
                          lambda t: F.struct(t.start.alias("start"), F.lit(len(KINDS)).alias("kind"), t.end.alias("end")))
     return seen.select("doc_id", "base", F.array_sort(F.concat("base", random)).alias("spans"))
