@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from kerbside.catalogue.cleaning import CLASS_CASE, WEIGHT_CASE
 from kerbside.catalogue.tables import table
 from kerbside.functions import codes
+from kerbside.operators import clean, profile
 from kerbside.plans import accidents, modelling
+from kerbside.sources import raw as raw_source
 from kerbside.streaming import scoring
 
 QUERIES, SQL = {}, {}
@@ -193,6 +195,31 @@ SELECT o_orderkey, CASE WHEN h < 6 OR h >= 20 THEN 'Night' WHEN h < 10 THEN 'Mor
   WHEN age >= 40 AND age < 65 THEN 'middle_aged' WHEN age >= 65 AND age < 100 THEN 'senior' ELSE 'Unknown' END AS age_group,
  {_wave('hour', '2*pi()*h/24')}, {_wave('day_of_week', '2*pi()*w/7')} FROM r"""
 
+# ---- register codes as text, by the codebooks ---------------------------------------------
+_BOOKED = {"locations": {"road_category": _LOC["catr"], "traffic_regime": _LOC["circ"], "reserved_lane_present": _LOC["vosp"],
+                         "longitudinal_profile": _LOC["prof"], "horizontal_alignment": _LOC["plan"]},
+           "users": {"injury_severity": _USR["grav"], "user_category": _USR["catu"], "sex": _USR["sexe"]}}
+
+
+def codebook_labels(spark, sf):
+    """How often each label of the codebooks stands in the raw tables; a code of no label is NULL."""
+    raw = accidents.renamed(raw_tables(spark, sf))
+    out = []
+    for name, columns in _BOOKED.items():
+        typed = raw_source.typed(raw[name].select(*columns))
+        labels = clean.decode(typed, {c: codes.CODEBOOKS[c] for c in columns}, "")
+        out.append(profile.value_table(labels, list(columns)).withColumnRenamed("value", "label"))
+    return out[0].unionByName(out[1])
+
+
+def _label(column, code):
+    return f"CASE {code} " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in codes.CODEBOOKS[column].items()) + " END"
+
+
+SQL["codebook_labels"] = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", {_label(c, e)} AS label, count(*) AS n FROM lineitem GROUP BY ALL""" for columns in _BOOKED.values() for c, e in columns.items())
+
+
 # ---- clusters: two rounds of two starts a year, written out -------------------------------
 _CNUM = ["speed_limit", "impact_score", "impact_delta", "lighting_ordinal", "weather_ordinal"]
 _CCAT = ["role", "time_of_day", "location", "vehicle_category_simplified_other", "surface_quality_indicator"]
@@ -229,4 +256,4 @@ SQL["accident_clusters"] = f"""WITH t AS MATERIALIZED (SELECT row_number() OVER
    + [f"CASE WHEN t.{c} IS NOT DISTINCT FROM p.{c} THEN 0.0::DOUBLE ELSE {_GAMMA}::DOUBLE END" for c in _CCAT])}, p.cluster) = 1)
  SELECT id_user, year, cluster::SMALLINT AS cluster FROM last"""
 
-QUERIES |= {"accident_clusters": accident_clusters, "accident_merge": accident_merge, "accident_table": accident_table, "modelling_rows": modelling_rows, "derived_report": derived_report}
+QUERIES |= {"codebook_labels": codebook_labels, "accident_clusters": accident_clusters, "accident_merge": accident_merge, "accident_table": accident_table, "modelling_rows": modelling_rows, "derived_report": derived_report}

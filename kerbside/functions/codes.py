@@ -183,7 +183,6 @@ RISK_FACTORS = {
     "Weather Severity": ("weather_ordinal", 4.0), "Lighting Conditions": ("lighting_ordinal", 3.0),
 }
 RISK_LABELS = {0: "LOW RISK", 1: "MEDIUM RISK", 2: "HIGH RISK"}
-CLASS_LABELS = {0: "Uninjured", 1: "Injured", 2: "Severe"}
 
 # Readable labels of register codes.
 CODEBOOKS = {

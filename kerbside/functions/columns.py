@@ -221,12 +221,6 @@ def two_stage_probabilities(p_injured, p_severe_if_injured) -> Column:
     return unit_sum(F.array(1.0 - p_inj, p_inj - severe, severe))
 
 
-def threshold_class(p_injured, p_severe, t_injured, t_severe) -> Column:
-    """0 below the first threshold, 2 if both are reached, else 1."""
-    return (F.when(_col(p_injured) < _col(t_injured), F.lit(0))
-            .when(_col(p_severe) >= _col(t_severe), F.lit(2)).otherwise(F.lit(1)))
-
-
 def speed_rule(speed, low: float = 50, high: float = 100) -> Column:
     """0 up to ``low``, 1 below ``high``, else (unknown speed too) 2."""
     return (F.when(_col(speed) <= low, F.lit(0)).when(_col(speed) < high, F.lit(1))

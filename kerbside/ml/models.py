@@ -128,10 +128,6 @@ def decision_tree(df: DataFrame, target: str, classes: list[int], depth: int = 5
     return SeverityModel(PipelineModel([fit.fit(df)]), "average", classes)
 
 
-def tree_rules(model: SeverityModel) -> str:
-    return model.pipeline.stages[0].toDebugString
-
-
 def balanced_forest(df: DataFrame, target: str, classes: list[int], keys: list[str], draws: int = 10,
                     trees: int = 1000, depth: int = 20, seed: int = 42, bins: int = 64, min_leaf: int = 1,
                     vector: str = "features") -> SeverityModel:

@@ -57,8 +57,3 @@ def search(df: DataFrame, target: str, classes: list[int], keys: list[str],
     return df.sparkSession.createDataFrame(
         [(i + 1, *r) for i, r in enumerate(rows)],
         "rank int, params string, macro_f1 double, fold_scores array<double>")
-
-
-def ridge_alphas() -> list[dict]:
-    """The grid 0.05, 0.10, ... 5.00."""
-    return [{"alpha": round(0.05 * i, 2)} for i in range(1, 101)]

@@ -19,11 +19,6 @@ def rename(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed({old: new for old, new in names.items() if old in df.columns})
 
 
-def strip_id_blanks(df: DataFrame, columns: list[str], kind: str = "bigint") -> DataFrame:
-    convert = fc.blank_free_long if kind == "bigint" else fc.blank_free_double
-    return df.withColumns({c: convert(c) for c in columns if c in df.columns})
-
-
 def sentinels_to_null(df: DataFrame, sentinels: dict[str, list]) -> DataFrame:
     return df.withColumns(
         {c: fc.sentinel_to_null(c, values) for c, values in sentinels.items() if c in df.columns})

@@ -12,22 +12,6 @@ from pyspark.sql import functions as F
 SMALL_BYTES = 16 << 20
 
 
-def build_session(app_name: str = "kerbside", master: str | None = None,
-                  shuffle_partitions: int | None = None) -> SparkSession:
-    """Session with adaptive execution on and UTC timestamps."""
-    builder = SparkSession.builder.appName(app_name)
-    if master:
-        builder = builder.master(master)
-    if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    return (
-        builder.config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
-    )
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, set as the session's checkpoint folder.
 

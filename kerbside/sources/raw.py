@@ -138,11 +138,6 @@ def compare_schemas(tables: dict[str, DataFrame]) -> DataFrame:
     return spark.createDataFrame(rows, schema).orderBy(F.desc("is_different"), "column")
 
 
-def compare_csv_headers(spark: SparkSession, paths: dict[str, str], sep: str = ";") -> DataFrame:
-    return compare_schemas({n: spark.read.option("header", True).option("sep", sep).csv(p)
-                            for n, p in paths.items()})
-
-
 def table_shapes(tables: dict[str, DataFrame]) -> DataFrame:
     """(table, rows, columns) for each table."""
     parts = [t.agg(F.count(F.lit(1)).alias("rows")).select(
