@@ -57,7 +57,7 @@ NUM, NAME, UNIT = "\x01num", "\x01name", "\x01unit"
 
 
 def common_words(texts: DataFrame, most: int = COMMON) -> frozenset[str]:
-    """The words that the column ``text`` holds in lower case between blanks twice or more, the most frequent levels of ``most``."""
+    """The words that the column ``text`` holds in lower case between blanks, the most frequent levels of ``most``."""
     def run(batches):
         found = Counter()
 
@@ -75,7 +75,7 @@ def common_words(texts: DataFrame, most: int = COMMON) -> frozenset[str]:
                 yield flush()
         yield flush()
 
-    counts = texts.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
+    counts = texts.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     levelled = stored(counts.withColumn("level", F.floor(F.log2("n") * 8).cast("int")), "lower-case-words")
     sizes = {r["level"]: r["words"] for r in levelled.groupBy("level").agg(F.count("*").alias("words")).collect()}     # a few hundred
     least = None
