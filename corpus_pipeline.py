@@ -13,23 +13,28 @@ from kerbside.llm import common, decontaminate, exact_dedup, packing, queries, s
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    common.arrow_batches(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.clean_documents(docs, model)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    common.arrow_batches(spark)
     return exact_dedup.unique_documents(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    common.arrow_batches(spark)
     return simhash.one_per_group(docs, words=4, bits=4)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    common.arrow_batches(spark)
     return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    common.arrow_batches(spark)
     return packing.packed(docs, queries.tokenizer_path())
 
 

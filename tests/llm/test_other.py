@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from kerbside.llm import chat, licences, quality, queries, secrets, urls
 
 CONVERSATIONS = "conv_id long, turn long, role string, text string"
@@ -214,3 +215,23 @@ def test_licences(spark):
     got = [(r.doc_id, r.paragraph, r.family) for r in licences.find(docs).collect()]
     assert sorted(got) == [(1, 1, "mit"), (1, 1, "mit"), (2, 0, "cc-by-nc"), (5, 0, "gpl"), (6, 0, "unknown"), (7, 0, "apache"), (9, 0, "unknown")]
     assert licences.find(docs.limit(0)).count() == 0
+
+
+def test_pipeline_sends_texts_to_python_in_small_batches(spark):
+    """Spark's own batches of 10,000 texts stay in memory outside the heap, task by task."""
+    from kerbside.llm import common
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    docs = spark.range(3 * common.ARROW_ROWS).selectExpr("id as doc_id", "concat('text ', id) as text").repartition(1)
+    try:
+        spark.conf.set(key, 10_000)
+        corpus_pipeline.drop_copies(spark, docs, "")
+
+        def sizes(batches):
+            for b in batches:
+                yield b.from_pydict({"n": [b.num_rows]})
+
+        found = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+        assert sum(found) == 3 * common.ARROW_ROWS and max(found) <= common.ARROW_ROWS
+    finally:
+        spark.conf.set(key, old)
