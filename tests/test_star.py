@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from kerbside.catalogue import accident, joining
 from kerbside.operators import joins
+from kerbside.plans import accidents
 
 SF = "/root/testdata/sf0.001"
 
@@ -68,3 +69,23 @@ def test_summary_counts(spark):
                               {k: F.when(F.col("c") == k, 1).otherwise(0) for k in "ab"})
     got = {r.g: (r.a, r.b, [t and t["_id"] for t in r._top]) for r in out.collect()}
     assert got == {1: (4, 3, [6, 5]), 2: (0, 1, [None, None])}
+
+
+def test_vehicles_are_exchanged_once_by_adaptive_plans(spark):
+    """Both uses of the vehicles, the join of the users' own and the two heaviest, read one exchange."""
+    read = spark.sparkContext.accumulator(0)
+    raw = accident.raw_tables(spark, SF)
+    rows = raw["vehicles"].collect()
+
+    def ticked(row):
+        read.add(1)
+        return row
+
+    raw["vehicles"] = spark.createDataFrame(spark.sparkContext.parallelize(rows, 4).map(ticked), raw["vehicles"].schema)
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert accidents.build(raw, bucket=F.lit(0))["C_merged"].collect()
+        assert read.value == len(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
