@@ -17,10 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kerbside.functions import distances
 from kerbside.session import durable, pin_small
 
 CLUSTER_CELLS = 1_000_000      # clusters x dimensions in one part of the cluster table, held by a task
-BLOCK = 4096                   # rows on each side of a block of distances
+BLOCK = 4096                   # rows on each side of a block of distances, at least
 
 
 def _result(df: DataFrame, value: float | None, clusters: int) -> DataFrame:
@@ -29,10 +30,6 @@ def _result(df: DataFrame, value: float | None, clusters: int) -> DataFrame:
                                            "silhouette double, clusters int, message string")
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), -1) if len(column) else np.zeros((0, 1))
-
-
 # ---- clusters by their sums -----------------------------------------------------------
 def cluster_sums(rows: DataFrame, vector: str, label: str, dims: int) -> DataFrame:
     """(_l, n, s, q): rows, sum of the vectors and sum of their squared norms per cluster."""
@@ -58,7 +55,7 @@ def _mean_squares(part: list):
 
     @F.arrow_udf("struct<own double, size double, other double>")
     def one(v: pa.Array, label: pa.Array) -> pa.Array:
-        x = _matrix(v)
+        x = distances.matrix(v)
         own = np.array([at.get(a, -1) for a in label.to_pylist()], int)
         total = n * (x * x).sum(1)[:, None] - 2 * x @ s.T + q if len(x) else np.zeros((0, len(n)))
         row, here = np.arange(len(x)), own >= 0
@@ -119,7 +116,7 @@ def _least_upper(part: list):
     @F.arrow_udf("double")
     def least(v: pa.Array, label: pa.Array) -> pa.Array:
         of, _ = _bounds(part)
-        return pa.array(of(_matrix(v), label.to_pylist())[1].min(1) if len(v) else [], pa.float64())
+        return pa.array(of(distances.matrix(v), label.to_pylist())[1].min(1) if len(v) else [], pa.float64())
     return least
 
 
@@ -127,7 +124,7 @@ def _candidates(part: list):
     @F.arrow_udf("array<bigint>")
     def candidates(v: pa.Array, label: pa.Array, most: pa.Array) -> pa.Array:
         of, labels = _bounds(part)
-        low = of(_matrix(v), label.to_pylist())[0] if len(v) else np.zeros((0, 0))
+        low = of(distances.matrix(v), label.to_pylist())[0] if len(v) else np.zeros((0, 0))
         keep = low <= most.to_numpy(zero_copy_only=False)[:, None]
         return pa.array([[labels[j] for j in np.flatnonzero(k)] for k in keep], pa.list_(pa.int64()))
     return candidates
@@ -148,19 +145,20 @@ def asked_clusters(rows: DataFrame, sums: DataFrame, dims: int, kind: str, cells
 
 
 def euclidean_silhouette(df: DataFrame, vector: str, label: str, noise: int | None = -1,
-                         block: int = BLOCK) -> DataFrame:
+                         block: int | None = None) -> DataFrame:
     """Mean silhouette with Euclidean distances over every row given; labels are whole numbers.
 
     Exact sums cost rows asked times rows of a cluster. They are made in blocks, so a task holds two:
     a row is shuffled once per block of each cluster it asks for, and once per block of the rows that
-    ask for its own, all by groups of (cluster, block, block). ``noise`` rows take no part (None keeps
-    them as a cluster of their own).
+    ask for its own, all by groups of (cluster, block, block). Blocks grow with the rows from ``BLOCK``
+    to ``distances.MOST_ROWS``, unless ``block`` is given. ``noise`` rows take no part (None keeps them
+    as a cluster of their own).
     """
     rows = df.filter(F.col(label).isNotNull())
     rows = rows if noise is None else rows.filter(F.col(label) != noise)
     kind = dict(rows.dtypes)[label]
     rows = durable(rows.select(F.monotonically_increasing_id().alias("_id"), F.col(label).alias("_l"),
-                               F.col(vector).cast("array<double>").alias("_v")))
+                               distances.plain(vector, dict(rows.dtypes)[vector]).alias("_v")))
     first = rows.select(F.size("_v").alias("d")).first()
     dims = first["d"] if first else 0
     sums = durable(cluster_sums(rows, "_v", "_l", dims))
@@ -171,6 +169,9 @@ def euclidean_silhouette(df: DataFrame, vector: str, label: str, noise: int | No
     # blocks of a cluster's rows, and of the rows that ask for it
     size = (sums.select(F.col("_l").alias("other"), F.col("n").alias("_n"))
             .join(asked.groupBy("other").agg(F.count(F.lit(1)).alias("_m")), "other"))
+    if block is None:
+        pairs = size.agg(F.sum(F.col("_n").cast("double") * F.col("_m"))).first()[0]
+        block = distances.block_rows(pairs, BLOCK)
     size = pin_small(size.select("other", "_n", F.ceil(F.col("_n") / block).cast("int").alias("_targets"),
                                  F.ceil(F.col("_m") / block).cast("int").alias("_askers")))
 
@@ -185,10 +186,10 @@ def euclidean_silhouette(df: DataFrame, vector: str, label: str, noise: int | No
         "other", F.col("_id").alias("_t"), F.col("_v").alias("_w"), dealt("_targets").alias("_b"), every("_askers").alias("_a"))
 
     def add_up(asking: pa.Table, held: pa.Table) -> pa.Table:
-        x, y = (_matrix(t.column(c).combine_chunks()) for t, c in ((asking, "_v"), (held, "_w")))
+        x, y = distances.matrix(asking.column("_v")), distances.matrix(held.column("_w"))
         if not len(x) or not len(y):
             return pa.table({"id": [], "own": [], "other": [], "s": []}, schema=schema)
-        s = np.concatenate([np.sqrt(((y[None] - p[:, None]) ** 2).sum(2)).sum(1) for p in np.array_split(x, -(-len(x) // 16))])
+        s = distances.distance_sums(x, y)
         return pa.table([asking.column("_id"), asking.column("_l"), asking.column("other"), pa.array(s)], schema=schema)
 
     arrow = {"tinyint": pa.int8(), "smallint": pa.int16(), "int": pa.int32(), "bigint": pa.int64()}[kind]
