@@ -23,8 +23,10 @@ from __future__ import annotations
 
 import bisect
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,7 @@ MOST_SHARES = 1 << 16     # this many such shares
 # texts of these signs only are cut at white space; others go to the tokenizer whole
 PLAIN = re.compile("[\\t\\n\\r -~À-ÖØ-öø-įĲ-ſ]*")
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+ENDS = frozenset(".,;:!?")     # signs that end a word and stand alone after letters
 
 
 def byte_signs() -> dict[int, str]:
@@ -63,12 +66,21 @@ class Encoder:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def parts(self, parts: Iterable[str]) -> bytes:
+        """Ids of parts without blanks; what prints in ASCII is its own sign."""
+        ids = [t.id for part in parts
+               for t in self.model.tokenize(part if part.isascii() else part.encode().decode("latin-1").translate(self.signs))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def word(self, w: str) -> bytes:
         found = self.old.get(w)
         if found is None:
-            ids = [t.id for part in PARTS.findall(w)
-                   for t in self.model.tokenize(part.encode().decode("latin-1").translate(self.signs))]
-            found = np.array(ids, "<u4").tobytes()
+            stem = w[:-1]
+            if w[-1] in ENDS and stem.isalpha():             # the sign is a part of its own
+                found = self.young.get(stem) or self.old.get(stem) or self.parts((stem,))
+                found += self.young.get(w[-1]) or self.word(w[-1])
+            else:
+                found = self.parts((w,) if w.isalpha() else PARTS.findall(w))
         if len(self.young) > self.LIMIT:
             self.old, self.young = self.young, {}
         self.young[w] = found

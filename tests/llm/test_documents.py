@@ -245,6 +245,25 @@ def test_word_encoder_is_the_tokenizer():
         assert encoder.encode(text) == np.array(ids, "<u4").tobytes()
 
 
+def test_words_that_end_in_a_sign():
+    """A word's letters go through the model once, whatever sign follows them; ids are the tokenizer's."""
+    path = queries.tokenizer_path()
+    encoder, whole, asked = packing.Encoder(path), Tokenizer.from_file(path), []
+
+    class Model:
+        def tokenize(self, part, model=encoder.model):
+            asked.append(part)
+            return model.tokenize(part)
+
+    encoder.model = Model()
+    encoder.encode("quixotry quixotry, quixotry. quixotry! quixotry,")
+    assert asked == ["quixotry", ",", ".", "!"]
+    words = ["a.", "b..", "c?!", "it's,", "l'", "l's.", "don't:", "é,", "ÉTÉ;", "çç", "x1,", "1,", ",", "..", "_a,", "a_", "a-b.", "straße!", "'s,", "ŉ."]
+    for text in [*words, " ".join(words), "\n".join(reversed(words))]:
+        ids = whole.encode(text, add_special_tokens=False).ids
+        assert encoder.encode(text) == np.array(ids, "<u4").tobytes()
+
+
 def test_packing(spark):
     rows = odd_rows() + [(i, "word " * (i % 90)) for i in range(1000, 1400)]
     docs = rows_of(spark, rows, clash=True)
