@@ -177,9 +177,8 @@ def smote_counts(spark, sf):
 SELECT a.id, b.id AS near, round(list_distance(a.v, b.v), 6) AS distance, CAST(row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.v, b.v), b.id) AS INT) AS place
 FROM e a JOIN e b ON a.id <> b.id QUALIFY place <= 3""")
 def nearest_neighbours(spark, sf):
-    e = table(spark, sf, "embeddings").select(F.col("embedding").alias("v"), "vec_id")
-    distinct = e.groupBy("v").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"))
-    out = smote.neighbours(distinct.select("id", "v", "copies"), 3)
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+    out = smote.row_neighbours(e, 3)
     return out.select("id", "near", r6("distance").alias("distance"), "place")
 
 

@@ -7,10 +7,12 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from kerbside.catalogue import learning
 from kerbside.clustering import grouped, kprototypes
-from kerbside.ml import forest, models, target_stats
+from kerbside.ml import forest, models, smote, target_stats
 from kerbside.operators import ordered
 from kerbside.plans import modelling
+from tests import compare
 
 
 # ---- target statistics -------------------------------------------------------------------
@@ -152,3 +154,32 @@ def test_one_leaf_is_exact(spark):
         got.setdefault(r.id, []).append(r.near)
     assert got == {i: list(np.argsort(d[i])[:3]) for i in range(90)}
     assert forest.neighbours(df.limit(0), 3).count() == 0
+
+
+# ---- exact neighbours ------------------------------------------------------------------------
+def test_rows_of_equal_vectors_are_neighbours(spark, tmp_path):
+    """The query against its SQL where vectors, ids or whole rows come more than once."""
+    rng = np.random.default_rng(6)
+    v = [rng.integers(0, 3, 3).astype(float).tolist() for _ in range(90)] + [[1.0, 1.0, 1.0]] * 30
+    for kind, ids in (("copies", range(120)), ("ids", [int(i) for i in rng.integers(0, 90, 120)])):
+        rows = [*zip(ids, v)] + ([*zip(ids, v)][:40] if kind == "ids" else [])
+        folder = str(tmp_path / kind)
+        spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1).toPandas().to_parquet(
+            (tmp_path / kind).mkdir() or f"{folder}/embeddings.parquet")
+        ok, n, _, note = compare.check(spark, compare.connect(folder), kind, learning.QUERIES["nearest_neighbours"], learning.SQL["nearest_neighbours"], folder)
+        assert ok and n == 3 * len(set(ids)), note
+
+
+def test_nearest_of_some_rows(spark, monkeypatch):
+    """Against all distances, in many blocks; no row of the plan is a pair."""
+    monkeypatch.setattr(smote, "CHUNK_ROWS", 7)
+    x = np.random.default_rng(7).integers(0, 4, (300, 3)).astype(float)
+    x[5, 1] = np.nan
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(x)], "id long, v array<double>").repartition(4)
+    got = {}
+    for r in smote.nearest_of(df.filter("id % 5 = 0"), df, 3).orderBy("id", "place").collect():
+        got.setdefault(r.id, []).append((r.distance, r.near))
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    assert got == {i: sorted((d[i, j], j) for j in range(300) if j not in (i, 5))[:3] for i in range(0, 300, 5) if i != 5}
+    plan = learning.forest_recall(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "NOT (id" not in plan and "zip_with" not in plan
