@@ -187,10 +187,7 @@ def forest_recall(spark, sf):
     """Neighbours out of a forest with small leaves, against all distances of every fiftieth vector."""
     e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"), F.lit(1).alias("copies"))
     found = forest.neighbours(e, 3, leaf=64, trees=24).filter("id % 50 = 0").select("id", "distance", "place")
-    asked = F.broadcast(e.filter("id % 50 = 0").select(F.col("id").alias("a"), F.col("v").alias("w")))     # a stated query set
-    gap = F.sqrt(F.aggregate(F.zip_with("v", "w", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
-    every = e.join(asked, F.col("id") != F.col("a")).select("a", "id", gap.alias("d"))
-    third = ordered.first_per_key(every, ["a"], [F.asc("d"), F.asc("id")], 3, rank="place").filter("place = 3").select(F.col("a").alias("id"), "d")
+    third = smote.nearest_of(e.filter("id % 50 = 0"), e, 3).filter("place = 3").select("id", F.col("distance").alias("d"))
     out = found.join(third, "id", "right").groupBy("id").agg(F.count(F.when(F.col("distance") <= F.col("d") * (1 + 1e-9), 1)).alias("hits"))
     return out.agg(F.count("*").alias("searched"), (F.sum("hits") >= 0.9 * 3 * F.count("*")).alias("found_nine_in_ten"))
 
